@@ -200,7 +200,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tag: str = "") -
             x = [shingles(t, memo).tobytes() for t in b.column(4).to_pylist()]
             yield pa.record_batch([*b.columns[:4], pa.array(x, pa.binary())], names=["k", "group", "chunks", "chunk", "shingles"])
 
-    found = keyed(docs).alias("d").join(member.alias("m"), (F.col("d.k") == F.col("m.k")) & F.col("d.doc_id").eqNullSafe(F.col("m.rep"))).select("m.k", "group", "chunks", "chunk", F.coalesce("text", F.lit("")).alias("text"))
+    # the same join at every size: texts are dealt out by key, and a small member table isn't broadcast instead
+    found = keyed(docs).alias("d").join(member.alias("m").hint("merge"), (F.col("d.k") == F.col("m.k")) & F.col("d.doc_id").eqNullSafe(F.col("m.rep"))).select("m.k", "group", "chunks", "chunk", F.coalesce("text", F.lit("")).alias("text"))
     found = found.mapInArrow(sets, "k long, group long, chunks int, chunk int, shingles binary")
     dealt = found.select("k", "group", "chunk", "shingles", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     dealt = dealt.select("k", "group", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "shingles")
