@@ -187,7 +187,7 @@ class Codec:
         self.lexicon = Lexicon(block) if block else None
         self.find = regex.compile(WORD)
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.merges.special, key=len, reverse=True)) + ")") if self.merges.special else None
-        self.memo = Memo(self._word, 300_000)
+        self.memo = Memo(self._word, 600_000)
 
     def _word(self, word: str) -> bytes:
         raw = word.encode()
