@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import groups, written
 
-PAGE, SHARD_ROWS, BLOCK_QUERIES = 48, 8192, 1024
+PAGE, SHARD_ROWS, BLOCK_QUERIES = 192, 8192, 1024
 SLACK = 1e-3
 
 
@@ -48,8 +48,8 @@ class Tree:
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, norms: np.ndarray, top: float, page: int = PAGE):
         lift = np.sqrt(np.maximum(top - norms, 0.0))
-        self.ids, self.rows = ids, points
-        self.points = np.concatenate([points.astype(np.float64), lift[:, None]], 1)
+        self.ids, self.rows = ids, points.astype(np.float64)
+        self.points = np.concatenate([self.rows, lift[:, None]], 1)
         self.pages: list[tuple] = []
         self.page = page
         self.root = self._build(np.arange(len(ids)), None)
@@ -87,7 +87,8 @@ class Tree:
 
     def search(self, query: np.ndarray, own: int, k: int, top: float) -> list[tuple[int, int]]:
         """The k best (score, vec_id), best first."""
-        q = np.append(query.astype(np.float64), 0.0)
+        query = query.astype(np.float64)
+        q = np.append(query, 0.0)
         whole = float((query * query).sum()) + top  # |q|^2 + M
         best: list[tuple[int, int]] = []  # heap of (score, -vec_id), the worst first
         limit = np.inf
@@ -105,19 +106,19 @@ class Tree:
                 use = np.arange(len(at))
             if leaf:
                 rows = below[use]
-                score = self.rows[rows] @ query
-                ids = self.ids[rows]
-                order = np.lexsort((ids, -score))[: k + 8]
-                for i in (order if len(rows) <= k + 8 or own not in ids[order] else np.lexsort((ids, -score))):
-                    if ids[i] == own:
+                score = self.rows[rows] @ query  # whole numbers below 2^53, so exact
+                if len(best) == k:
+                    near = np.flatnonzero(score >= best[0][0])
+                else:
+                    near = np.lexsort((self.ids[rows], -score))
+                for i in near.tolist():
+                    item = (int(score[i]), -int(self.ids[rows[i]]))
+                    if -item[1] == own:
                         continue
-                    item = (int(score[i]), -int(ids[i]))
                     if len(best) < k:
                         heapq.heappush(best, item)
                     elif item > best[0]:
                         heapq.heapreplace(best, item)
-                    else:
-                        break
                 if len(best) == k:
                     limit = np.sqrt(max(whole - 2 * best[0][0], 0.0)) + SLACK
                 continue
