@@ -7,6 +7,7 @@ setting is absent (tests). Worker-side caches live in ``cache()`` so that they s
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import sys
@@ -56,6 +57,12 @@ def release(spark: SparkSession, tag: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files of finished steps now; it does so when the driver's objects are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def cache(name: str, make: Callable):
     """A value made once in each Python worker process."""
     store = sys.__dict__.setdefault("_loomseq_cache", {})
