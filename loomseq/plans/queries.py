@@ -31,7 +31,7 @@ li = lambda s, d: table(s, d, "lineitem")
 orders = lambda s, d: table(s, d, "orders")
 cust = lambda s, d: table(s, d, "customer")
 evs = lambda s, d: table(s, d, "events")
-KEY, ORD = ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"]
+KEY, ORD = ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 E1 = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity FROM lineitem"
 
 # ---- dataflow -----------------------------------------------------------------------------------------------------------
@@ -39,11 +39,11 @@ query("where", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >
 query("transform", "SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS net FROM lineitem")(lambda s, d: df_.transform(li(s, d), net=F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4)).select("l_orderkey", "l_linenumber", "net"))
 query("counts", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL")(lambda s, d: df_.counts(li(s, d), "l_returnflag", "l_linestatus"))
 query("group_all", "SELECT o_custkey, array_to_string(list_sort(list(o_orderkey)), ',') AS items FROM orders GROUP BY o_custkey")(lambda s, d: df_.group_all(orders(s, d), ["o_custkey"], "o_orderkey").select("o_custkey", F.array_join(F.col("items").cast("array<string>"), ",").alias("items")))
-query("group_adjacent", f"WITH e AS ({E1}), f AS (SELECT *, lag(l_returnflag) OVER w IS DISTINCT FROM l_returnflag AS b FROM e WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)), g AS (SELECT *, sum(CAST(b AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS island FROM f) SELECT l_orderkey, CAST(island AS BIGINT) AS island, l_returnflag, count(*) AS n FROM g GROUP BY ALL")(lambda s, d: df_.group_adjacent(li(s, d), KEY, ORD, "l_returnflag").groupBy("l_orderkey", "island", "l_returnflag").agg(F.count("*").alias("n")))
-query("group_adjacent_if", f"WITH e AS ({E1}), f AS (SELECT *, coalesce(abs(l_quantity - lag(l_quantity) OVER w) > 10, true) AS b FROM e WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)), g AS (SELECT *, sum(CAST(b AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS island FROM f) SELECT l_orderkey, CAST(island AS BIGINT) AS island, count(*) AS n, sum(l_quantity) AS q FROM g GROUP BY ALL")(lambda s, d: df_.group_adjacent_if(li(s, d), KEY, ORD, F.abs(F.col("l_quantity") - df_.lagged(None, KEY, ORD, "l_quantity")) <= 10).groupBy("l_orderkey", "island").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q")))
+query("group_adjacent", f"WITH e AS ({E1}), f AS (SELECT *, lag(l_returnflag) OVER w IS DISTINCT FROM l_returnflag AS b FROM e WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity)), g AS (SELECT *, sum(CAST(b AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS island FROM f) SELECT l_orderkey, CAST(island AS BIGINT) AS island, l_returnflag, count(*) AS n FROM g GROUP BY ALL")(lambda s, d: df_.group_adjacent(li(s, d), KEY, ORD, "l_returnflag").groupBy("l_orderkey", "island", "l_returnflag").agg(F.count("*").alias("n")))
+query("group_adjacent_if", f"WITH e AS ({E1}), f AS (SELECT *, coalesce(abs(l_quantity - lag(l_quantity) OVER w) > 10, true) AS b FROM e WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity)), g AS (SELECT *, sum(CAST(b AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS island FROM f) SELECT l_orderkey, CAST(island AS BIGINT) AS island, count(*) AS n, sum(l_quantity) AS q FROM g GROUP BY ALL")(lambda s, d: df_.group_adjacent_if(li(s, d), KEY, ORD, F.abs(F.col("l_quantity") - df_.lagged(None, KEY, ORD, "l_quantity")) <= 10).groupBy("l_orderkey", "island").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q")))
 query("in_groups_of", "SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 AS batch, o_orderkey FROM orders")(lambda s, d: df_.in_groups_of(orders(s, d), 100, ["o_orderkey"]).select("batch", "o_orderkey"))
-query("sliding_window", "WITH w AS (SELECT l_orderkey, l_linenumber, list(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS q, count(*) OVER (PARTITION BY l_orderkey) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM lineitem) SELECT l_orderkey, l_linenumber, len(q) AS n, list_sum(q) AS q FROM w WHERE len(q) = 3 OR (n < 3 AND r = 1)")(lambda s, d: df_.sliding_window(li(s, d), KEY, ORD, "l_quantity", 3).select("l_orderkey", "l_linenumber", F.size("window").cast("long").alias("n"), F.aggregate("window", F.lit(0.0), lambda a, v: a + v).alias("q")))
-PRE = "WITH p AS (SELECT l_orderkey, l_linenumber, sum(CAST(NOT l_quantity < 30 AS INTEGER)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS bad FROM lineitem) SELECT l_orderkey, l_linenumber FROM p WHERE bad "
+query("sliding_window", "WITH w AS (SELECT l_orderkey, l_linenumber, list(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS q, count(*) OVER (PARTITION BY l_orderkey) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS r FROM lineitem) SELECT l_orderkey, l_linenumber, len(q) AS n, list_sum(q) AS q FROM w WHERE len(q) = 3 OR (n < 3 AND r = 1)")(lambda s, d: df_.sliding_window(li(s, d), KEY, ORD, "l_quantity", 3).select("l_orderkey", "l_linenumber", F.size("window").cast("long").alias("n"), F.aggregate("window", F.lit(0.0), lambda a, v: a + v).alias("q")))
+PRE = "WITH p AS (SELECT l_orderkey, l_linenumber, sum(CAST(NOT l_quantity < 30 AS INTEGER)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS bad FROM lineitem) SELECT l_orderkey, l_linenumber FROM p WHERE bad "
 query("take_while", PRE + "= 0")(lambda s, d: df_.take_while(li(s, d), KEY, ORD, F.col("l_quantity") < 30).select("l_orderkey", "l_linenumber"))
 query("drop_while", PRE + "> 0")(lambda s, d: df_.drop_while(li(s, d), KEY, ORD, F.col("l_quantity") < 30).select("l_orderkey", "l_linenumber"))
 query("take_first", "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 25")(lambda s, d: df_.take_first(orders(s, d), 25, ["o_orderkey"]).select("o_orderkey"))
@@ -56,15 +56,15 @@ for name, way in (("max", "DESC"), ("min", "ASC")):
     query(f"where_{name}_by", f"SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity {way}) AS r FROM lineitem) WHERE r = 1")(lambda s, d, way=way: df_.where_extreme_by(li(s, d), KEY, F.desc("l_quantity") if way == "DESC" else F.asc("l_quantity")).select("l_orderkey", "l_linenumber", "l_quantity"))
 query("exists_where", "SELECT l_orderkey, bool_or(l_discount > 0.08) AS found FROM lineitem GROUP BY l_orderkey")(lambda s, d: df_.exists_where(li(s, d), KEY, F.col("l_discount") > 0.08))
 query("top_n_by", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")(lambda s, d: df_.top_n_by(orders(s, d), 20, [F.desc("o_totalprice"), "o_orderkey"]).select("o_orderkey", "o_totalprice"))
-query("unique_adjacent", "SELECT l_orderkey, l_linenumber FROM (SELECT *, lag(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS p FROM lineitem) WHERE p IS DISTINCT FROM l_returnflag")(lambda s, d: df_.unique_adjacent(li(s, d), KEY, ORD, "l_returnflag").select("l_orderkey", "l_linenumber"))
+query("unique_adjacent", "SELECT l_orderkey, l_linenumber FROM (SELECT *, lag(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS p FROM lineitem) WHERE p IS DISTINCT FROM l_returnflag")(lambda s, d: df_.unique_adjacent(li(s, d), KEY, ORD, "l_returnflag").select("l_orderkey", "l_linenumber"))
 query("unique_all", "SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) = 1")(lambda s, d: df_.unique_all(li(s, d), ["l_partkey"], ["l_orderkey", "l_linenumber", "l_suppkey"]).select("l_partkey", "l_orderkey", "l_linenumber"))
 query("concat", "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part")(lambda s, d: df_.concat(table(s, d, "part").select("p_partkey", F.split("p_name", " ").alias("w")), "w", "word"))
 query("append", "SELECT c_custkey AS id, c_acctbal AS bal FROM customer UNION ALL SELECT s_suppkey, s_acctbal FROM supplier")(lambda s, d: df_.append(cust(s, d).select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("bal")), table(s, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("bal"))))
 query("zip_with", "WITH a AS (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS ord FROM customer), b AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS ord FROM supplier) SELECT a.ord, c_custkey, s_suppkey FROM a JOIN b ON a.ord = b.ord")(lambda s, d: df_.zip_with(cust(s, d).select("c_custkey", "c_acctbal"), table(s, d, "supplier").select("s_suppkey", "s_acctbal"), ["c_acctbal", "c_custkey"], ["s_acctbal", "s_suppkey"]).select("ord", "c_custkey", "s_suppkey"))
-query("zip_adjacent", "SELECT l_orderkey, l_linenumber, diff FROM (SELECT *, l_quantity - lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS diff FROM lineitem) WHERE diff IS NOT NULL")(lambda s, d: df_.zip_adjacent(li(s, d), KEY, ORD, "l_quantity", lambda a, b: b - a, "diff").select("l_orderkey", "l_linenumber", "diff"))
+query("zip_adjacent", "SELECT l_orderkey, l_linenumber, diff FROM (SELECT *, l_quantity - lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS diff FROM lineitem) WHERE diff IS NOT NULL")(lambda s, d: df_.zip_adjacent(li(s, d), KEY, ORD, "l_quantity", lambda a, b: b - a, "diff").select("l_orderkey", "l_linenumber", "diff"))
 query("cartesian", "SELECT r_name, n_name FROM region, nation")(lambda s, d: df_.cartesian(table(s, d, "region"), table(s, d, "nation")).select("r_name", "n_name"))
-query("foldl", "SELECT l_orderkey, round(list_reduce(list_prepend(0.0, list(l_quantity ORDER BY l_linenumber, l_partkey, l_suppkey)), lambda a, v: a / 2 + v), 6) AS f FROM lineitem GROUP BY l_orderkey")(lambda s, d: df_.fold(li(s, d), KEY, ORD, "l_quantity", F.lit(0.0), lambda a, v: a / 2 + v, "f").withColumn("f", F.round("f", 6)))
-query("foldl_1", "SELECT l_orderkey, round(list_reduce(list(l_quantity ORDER BY l_linenumber, l_partkey, l_suppkey), lambda a, v: a / 2 + v), 6) AS f FROM lineitem GROUP BY l_orderkey")(lambda s, d: df_.fold_first(li(s, d), KEY, ORD, "l_quantity", lambda a, v: a / 2 + v, "f").withColumn("f", F.round("f", 6)))
+query("foldl", "SELECT l_orderkey, round(list_reduce(list_prepend(0.0, list(l_quantity ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity)), lambda a, v: a / 2 + v), 6) AS f FROM lineitem GROUP BY l_orderkey")(lambda s, d: df_.fold(li(s, d), KEY, ORD, "l_quantity", F.lit(0.0), lambda a, v: a / 2 + v, "f").withColumn("f", F.round("f", 6)))
+query("foldl_1", "SELECT l_orderkey, round(list_reduce(list(l_quantity ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity), lambda a, v: a / 2 + v), 6) AS f FROM lineitem GROUP BY l_orderkey")(lambda s, d: df_.fold_first(li(s, d), KEY, ORD, "l_quantity", lambda a, v: a / 2 + v, "f").withColumn("f", F.round("f", 6)))
 query("enumerated", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS ord FROM orders")(lambda s, d: df_.ordinal(orders(s, d), ["o_totalprice", "o_orderkey"]).select("o_orderkey", "ord"))
 query("gmean", "SELECT l_returnflag, round(exp(avg(ln(1 + l_quantity)) FILTER (l_quantity > 0)) - 1, 6) AS gmean FROM lineitem GROUP BY l_returnflag")(lambda s, d: df_.gmean_by(li(s, d), ["l_returnflag"], "l_quantity").withColumn("gmean", F.round("gmean", 6)))
 query("sum_by", "SELECT o_orderpriority, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL")(lambda s, d: df_.sum_by(orders(s, d), ["o_orderpriority"], F.col("o_totalprice")).withColumn("total", F.round("total", 2)))
@@ -227,14 +227,14 @@ query("classify_rows")(lambda s, d: classify.classify(_records(s, d), ["anml:mam
 query("div_totals", f"WITH {NODES.replace('event_type AS div', 'event_type AS div')}, {TOP}, {DIVR} SELECT {DIVSQL.replace('div ', 't4.div ', 1)} AS div, count(*) AS \"rows\", CAST(sum(n) AS BIGINT) AS total_len, CAST(sum(CASE WHEN rank = 1 THEN n ELSE 0 END) AS BIGINT) AS first_len FROM t4 JOIN wh ON t4.q_id = wh.q_id GROUP BY ALL")(lambda s, d: classify.div_totals(_records(s, d)).select("div", "rows", "total_len", "first_len"))
 query("select_divs")(lambda s, d: classify.select_divs(classify.div_totals(_records(s, d)), "anml:mammals", 1, 0.99))
 LAB = "CASE l_returnflag WHEN 'A' THEN 'contaminant' WHEN 'R' THEN 'primary' ELSE 'grey' END"
-ROWS = f"r AS (SELECT l_orderkey AS seq_id, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 10000 + l_suppkey AS at, CAST(floor(l_quantity) AS BIGINT) AS len, {LAB} AS label, CAST(floor(l_discount * 1000 + 0.5) AS BIGINT) AS pct, r_name AS div FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+ROWS = f"r AS (SELECT l_orderkey AS seq_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_returnflag) AS at, CAST(floor(l_quantity) AS BIGINT) AS len, {LAB} AS label, CAST(floor(l_discount * 1000 + 0.5) AS BIGINT) AS pct, r_name AS div FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
 
 
 def rows(s, d):
     label = F.when(F.col("l_returnflag") == "A", "contaminant").when(F.col("l_returnflag") == "R", "primary").otherwise("grey")
     n = table(s, d, "nation").join(F.broadcast(table(s, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     sup = table(s, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("r_name").alias("div"))
-    return li(s, d).join(sup, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_orderkey").alias("seq_id"), (F.col("l_linenumber").cast("long") * 1_000_000_000 + F.col("l_partkey") * 10_000 + F.col("l_suppkey")).alias("at"), F.col("l_quantity").cast("long").alias("len"), label.alias("label"), F.floor(F.col("l_discount") * 1000 + 0.5).cast("long").alias("pct"), "div")
+    return li(s, d).join(sup, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_orderkey").alias("seq_id"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*ORD, "l_discount", "l_returnflag")).cast("long").alias("at"), F.col("l_quantity").cast("long").alias("len"), label.alias("label"), F.floor(F.col("l_discount") * 1000 + 0.5).cast("long").alias("pct"), "div")
 
 
 query("spans", f"""WITH {ROWS}, a AS (SELECT *, last_value(CASE WHEN label <> 'grey' THEN label END IGNORE NULLS) OVER p AS pl, last_value(CASE WHEN label <> 'grey' THEN pct END IGNORE NULLS) OVER p AS pp, first_value(CASE WHEN label <> 'grey' THEN label END IGNORE NULLS) OVER n AS nl, first_value(CASE WHEN label <> 'grey' THEN pct END IGNORE NULLS) OVER n AS np FROM r
@@ -300,7 +300,7 @@ def _greedy(s, d):
 query("select_greedy")(_greedy)
 query("group_median", "SELECT l_returnflag, count(*) AS n, count(DISTINCT l_partkey) AS n_unique, CAST(sum(l_partkey) AS BIGINT) AS total, median(l_partkey) AS median FROM lineitem GROUP BY ALL")(lambda s, d: select.group_summary(li(s, d), "l_returnflag", "l_partkey"))
 query("load_dict", "SELECT o_custkey, min(o_orderpriority) AS o_orderpriority, count(DISTINCT o_orderpriority) > 1 AS conflict FROM orders GROUP BY ALL")(lambda s, d: select.load_dict(orders(s, d), "o_custkey", "o_orderpriority"))
-query("longest_per_symbol", "WITH e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity, lag(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) IS DISTINCT FROM l_returnflag AS b FROM lineitem), f AS (SELECT *, sum(CAST(b AS INTEGER)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS g FROM e) SELECT l_orderkey, l_linenumber FROM f QUALIFY row_number() OVER (PARTITION BY l_orderkey, g ORDER BY l_quantity DESC, l_linenumber, l_partkey, l_suppkey) = 1")(lambda s, d: sketch.longest_per_symbol(li(s, d), KEY, ORD, "l_returnflag", "l_quantity").select("l_orderkey", "l_linenumber"))
+query("longest_per_symbol", "WITH e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity, lag(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) IS DISTINCT FROM l_returnflag AS b FROM lineitem), f AS (SELECT *, sum(CAST(b AS INTEGER)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS g FROM e) SELECT l_orderkey, l_linenumber FROM f QUALIFY row_number() OVER (PARTITION BY l_orderkey, g ORDER BY l_quantity DESC, l_linenumber, l_partkey, l_suppkey, l_quantity) = 1")(lambda s, d: sketch.longest_per_symbol(li(s, d), KEY, ORD, "l_returnflag", "l_quantity").select("l_orderkey", "l_linenumber"))
 query("sync_status", "WITH m AS (SELECT item_id AS path, length(text) AS size, md5(text) AS digest FROM benchmark WHERE item_id % 4 > 0), f AS (SELECT item_id AS path, length(text) + CASE WHEN item_id % 6 = 1 THEN 1 ELSE 0 END AS size, CASE WHEN item_id % 10 = 3 THEN 'x' ELSE md5(text) END AS digest FROM benchmark WHERE item_id % 5 > 0) SELECT coalesce(m.path, f.path) AS path, CASE WHEN f.size IS NULL THEN 'missing' WHEN m.size IS NULL THEN 'extra' WHEN m.size <> f.size THEN 'size' WHEN m.digest <> f.digest THEN 'checksum' ELSE 'up-to-date' END AS status FROM m FULL JOIN f ON m.path = f.path")(
     lambda s, d: (lambda b: select.sync_status(b.filter("path % 4 > 0").select("path", "size", "digest"), b.filter("path % 5 > 0").select("path", (F.col("size") + (F.col("path") % 6 == 1).cast("int")).alias("size"), F.when(F.col("path") % 10 == 3, "x").otherwise(F.col("digest")).alias("digest"))))(table(s, d, "benchmark").select(F.col("item_id").alias("path"), F.length("text").alias("size"), F.md5("text").alias("digest"))))
 
