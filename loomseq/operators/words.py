@@ -1,8 +1,8 @@
 """Orientation-invariant spaced words: extraction, index, seed joins, coalescing, occurrence caps, tracks of words.
 
 A word is a string of 0 and 1: {C, T} is 1, {A, G} is 0; of the template's bases every third is left out; the reverse
-complement is the reversed negation, and the canonical word is the lesser of the two. Words over other letters than ACGT are
-not made. Positions count from 1; a word whose reverse was the lesser has the negative position of its last base.
+complement is the reversed negation, and the canonical word is the lesser of the two. Words whose kept
+bases hold other letters than ACGT are not made. Positions count from 1; a word whose reverse was the lesser has the negative position of its last base.
 """
 
 from __future__ import annotations
@@ -17,12 +17,24 @@ KEPT = {56: 38, 44: 30, 29: 20}
 
 
 def spaced_words(seqs: DataFrame, template: int = 56, stride: int = 1) -> DataFrame:
-    """(oid, pos, word, flipped) of sequences (oid, seq)."""
-    s = seqs.filter(F.length("seq") >= template).select("oid", "seq", F.translate("seq", "ACGT", "0101").alias("bits"))
-    s = barrier(s).select("oid", "bits", F.explode(F.sequence(F.lit(1), F.length("bits") - (template - 1), F.lit(stride))).alias("pos"))
-    s = s.select("oid", F.col("pos").cast("long").alias("pos"), F.substring("bits", F.col("pos"), F.lit(template)).alias("w")).filter(~F.col("w").rlike("[^01]"))
-    s = barrier(s.select("oid", "pos", F.regexp_replace("w", "(..).", "$1").alias("w")))
-    s = barrier(s.select("oid", "pos", "w", F.translate(F.reverse("w"), "01", "10").alias("r")))
+    """(oid, pos, word, flipped) of sequences (oid, seq).
+
+    For each of the three phases of the template a sequence's kept bits are written out once; a word is then a slice of
+    bytes. Slices are made inside one array function, so that the sequence itself is not copied for each word."""
+    kept = KEPT.get(template, template - template // 3)
+    parts = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = seqs.filter(F.length("seq") >= template).select("oid", "seq").repartition(parts, "oid")
+    s = barrier(s.select("oid", F.translate("seq", "ACGT", "0101").alias("bits")))
+    phase = lambda f: F.regexp_replace(F.substring("bits", f + 1, 1 << 30), "(..).", "$1").cast("binary").alias(f"b{f}")
+    s = barrier(s.select("oid", F.length("bits").alias("n"), phase(0), phase(1), phase(2)))
+
+    def word(p):
+        at, f = F.floor((p - 1) / 3).cast("int") * 2 + 1, (p - 1) % 3
+        cut = lambda c: F.substring(c, at, F.lit(kept))
+        return F.struct(p.cast("long").alias("pos"), F.when(f == 0, cut("b0")).when(f == 1, cut("b1")).otherwise(cut("b2")).cast("string").alias("w"))
+
+    s = s.select("oid", F.explode(F.transform(F.sequence(F.lit(1), F.col("n") - (template - 1), F.lit(stride)), word)).alias("x"))
+    s = s.select("oid", "x.pos", "x.w", F.translate(F.reverse("x.w"), "01", "10").alias("r")).filter(~F.col("w").rlike("[^01]"))
     return s.select("oid", F.when(F.col("r") < F.col("w"), -(F.col("pos") + template - 1)).otherwise(F.col("pos")).alias("pos"), F.least("w", "r").alias("word"), (F.col("r") < F.col("w")).alias("flipped"))
 
 
