@@ -224,7 +224,8 @@ def spans(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
     often = found.groupBy("anchor").agg(F.sum("rows").alias("total"), F.min("run").alias("x"), F.max("run").alias("y"), F.max("again").alias("again")).filter("total > 1 or again")
     live = written(found.drop("again").join(often.select("anchor", ((F.col("x") < F.col("y")) | F.col("again")).alias("several")), "anchor"), "live", tag)
     classes = written(live.groupBy("anchor", "run").agg(F.sum("rows").alias("c"), F.min("k").alias("k"), F.max("several").alias("several")), "classes", tag)
-    subs = classes.filter("several").groupBy("anchor").agg(F.ceil(F.count("*") / HOT).cast("int").alias("subs"))
+    # an anchor all of whose runs have copies needs no suffix array: all their strings are repeated
+    subs = classes.filter("several").groupBy("anchor").agg(F.ceil(F.count("*") / HOT).cast("int").alias("subs"), F.min("c").alias("least")).filter("least = 1").drop("least")
     asked = live.filter("several").join(classes.filter("several").select("anchor", "run", "c", "k"), ["anchor", "run", "k"]).join(subs, "anchor")
     asked = asked.select("k", "rep", F.struct("anchor", "run", "lo", "n", "c", "subs", F.pmod(F.xxhash64("run"), F.col("subs")).cast("int").alias("sub")).alias("ask"))
     asked = asked.groupBy("k", "rep").agg(F.collect_list("ask").alias("asks"))
