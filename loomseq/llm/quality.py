@@ -4,8 +4,9 @@ Indicators of word and character n-grams, hashed to a fixed number of columns, a
 class counts. A linear hinge-loss model is fitted on them by dual coordinate descent, and a logistic curve on the margins
 turns them into scores. Only texts and labels of training rows are used; lang, source and doc_id are never inputs.
 
-The model is fitted on at most ``max_rows`` labelled training rows of at most ``max_chars`` characters each (the only
-bounded sample here: rows with the smallest hash of doc_id). Scoring reads every row and whole text.
+The model is fitted on whole texts of at most ``max_rows`` labelled training rows (the only bounded sample here: rows with
+the smallest hash of doc_id). Executors turn them into columns, and the driver gets those: at most 2 ** BITS numbers a row,
+whatever the length of its text. Scoring reads every row and whole text.
 
 Defined results: null or empty text is scored as a text without features; rows are scored independently, so repeated rows,
 ties and extra columns change nothing; with no or only one class of labels every score is the share of label 1 (0.5
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import Memo, cache, rows_of
 
 BITS = 18
-MAX_ROWS, MAX_CHARS = 6000, 20_000
+MAX_ROWS = 6000
 THRESHOLD = 0.3
 
 
@@ -81,14 +82,18 @@ class Features:
         return np.array([((x + (3 << 40)) * mult % (1 << 64)) >> int(self.shift) for x in found], np.int64)
 
 
-def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, cost: float = 1.0, rounds: int = 20, seed: int = 7) -> dict:
-    """Weights by column, bias, and the slope and offset of the logistic curve."""
+def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, **options) -> dict:
+    """The model of these texts."""
+    feats = Features(bits)
+    return fit_columns([feats(t) for t in texts], labels, bits, **options)
+
+
+def fit_columns(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, cost: float = 1.0, rounds: int = 20, seed: int = 7) -> dict:
+    """Weights by column, bias, and the slope and offset of the logistic curve, from the columns of each text."""
     y = np.asarray(labels, np.int64)
     share = float(y.mean()) if len(y) else 0.5
     if len(y) == 0 or y.min() == y.max():
         return {"weights": np.zeros(1 << bits, np.float32), "bias": 0.0, "slope": 0.0, "offset": float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), "bits": bits}
-    feats = Features(bits)
-    rows = [feats(t) for t in texts]
     counts = np.full((2, 1 << bits), alpha)
     for x, k in zip(rows, y, strict=True):
         counts[k, x] += 1
@@ -116,8 +121,8 @@ def _descend(rows, y, ratio, cost, rounds, seed):
     """Dual coordinate descent for the hinge loss; each row is scaled by its number of features. The returned weights
     already hold the ratio."""
     rng = np.random.default_rng(seed)
-    z = [ratio[x] / np.sqrt(max(1, len(x))) for x in rows]
-    norm = np.array([float(v @ v) + 1 for v in z])
+    scale = np.array([1 / np.sqrt(max(1, len(x))) for x in rows])
+    norm = np.array([float(ratio[x] @ ratio[x]) * k * k + 1 for x, k in zip(rows, scale, strict=True)])
     sign = np.where(y == 1, 1.0, -1.0)
     weight = len(y) / (2.0 * np.bincount(y, minlength=2))
     upper = cost * np.where(y == 1, weight[1], weight[0])
@@ -125,10 +130,11 @@ def _descend(rows, y, ratio, cost, rounds, seed):
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            g = sign[i] * (w[rows[i]] @ z[i] + b) - 1
+            z = ratio[rows[i]] * scale[i]
+            g = sign[i] * (w[rows[i]] @ z + b) - 1
             new = min(max(dual[i] - g / norm[i], 0.0), upper[i])
             if d := (new - dual[i]) * sign[i]:
-                w[rows[i]] += d * z[i]
+                w[rows[i]] += d * z
                 b += d
                 dual[i] = new
                 moved = max(moved, abs(d))
@@ -154,15 +160,22 @@ def _curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(c)
 
 
-def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> dict:
+def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_rows: int = MAX_ROWS, bits: int = BITS) -> dict:
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     train_rows = known.filter(~held_out(F.col("doc_id"), mod, rest)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     ids = {r.doc_id: int(r.quality > 0) for r in train_rows.collect()}
     if not ids:
-        return fit([], np.zeros(0))
+        return fit([], np.zeros(0), bits)
     picked = docs.join(F.broadcast(docs.sparkSession.createDataFrame([(int(k),) for k in ids], "doc_id long")), "doc_id", "left_semi")
-    got = sorted({(r.doc_id, r.text) for r in picked.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, max_chars).alias("text")).toLocalIterator()})
-    return fit([t for _, t in got], np.array([ids[i] for i, _ in got]))
+
+    def columns(batches):
+        feats = cache(f"features:{bits}", lambda: Features(bits))
+        for b in rows_of(batches):
+            found = [np.sort(feats(t)).astype(np.int32).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(found, pa.binary())], names=["doc_id", "columns"])
+
+    got = sorted({(r.doc_id, bytes(r["columns"])) for r in picked.select("doc_id", "text").mapInArrow(columns, "doc_id long, columns binary").toLocalIterator()})
+    return fit_columns([np.frombuffer(x, np.int32) for _, x in got], np.array([ids[i] for i, _ in got]), bits)
 
 
 def score(docs: DataFrame, model: dict, mod: int = 5, rest: int = 0) -> DataFrame:
