@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import intervals
@@ -72,6 +72,50 @@ def integrants(rows: DataFrame) -> DataFrame:
     return d.filter("label = 'contaminant' and _a = 1 and _b = 1").drop("_a", "_b")
 
 
+def endosymbiont_chimeras(rows: DataFrame, hosts: list[str], pattern: str = "Wolbachia|Rickettsia") -> DataFrame:
+    """(seq_id) of sequences made of nothing but rows of a host division (primary, repeat or low coverage) and contaminant rows of
+    endosymbionts, with some of both. rows: (seq_id, label, div, tax_name)."""
+    guest = F.coalesce(F.col("tax_name").rlike(pattern), F.lit(False)) & (F.col("label") == "contaminant")
+    host = ~guest & F.col("label").isin("primary", "repeat", "low-coverage") & F.col("div").isin(hosts)
+    g = rows.groupBy("seq_id").agg(F.every(guest | host).alias("only"), F.some(guest).alias("guest"), F.some(host).alias("host"))
+    return g.filter("only and guest and host").select("seq_id")
+
+
+def _trim(items: Column, good_len: int, good_abs: int, pct: int) -> Column:
+    """How many spans, from the first on, one trim takes: it goes on from contaminant to contaminant while the primary spans passed
+    are short, alone and against the contaminated length."""
+    start = F.struct(*(F.lit(0).cast("long").alias(c) for c in ("i", "taken", "bad", "good")), F.lit(None).cast("long").alias("last"), F.lit(False).alias("stop"))
+
+    def state(a, **change):
+        return F.struct(*((change[c] if c in change else a[c]).alias(c) for c in ("i", "taken", "bad", "good", "last", "stop")))
+
+    def step(a, x):
+        bad, nothing = a["bad"] + x["len"], F.lit(None).cast("long")
+        enough = (a["i"] > 0) & (a["last"].isNull() | (a["last"] >= good_abs)) & (a["good"] * 100 >= bad * pct)
+        contaminant = F.when(enough, state(a, stop=F.lit(True))).otherwise(state(a, i=a["i"] + 1, bad=bad, last=nothing, taken=a["i"]))
+        primary = F.when(x["len"] >= good_len, state(a, stop=F.lit(True))).otherwise(state(a, i=a["i"] + 1, good=a["good"] + x["len"], last=x["len"]))
+        return F.when(a["stop"], a).when(x["label"] == "contaminant", contaminant).when(x["label"] == "primary", primary).otherwise(state(a, i=a["i"] + 1))
+
+    taken = F.aggregate(items, start, step)["taken"]
+    return F.when(taken > 0, taken + 1).otherwise(0).cast("int")
+
+
+def trim_ends(spans_: DataFrame, good_len: int = 50_000, good_abs: int = 200, pct: int = 30) -> DataFrame:
+    """Spans (seq_id, pos, len, label) with what lies within a trim at either end made one contaminant span. Where both trims meet,
+    the whole sequence is one."""
+    d = spans_.groupBy("seq_id").agg(F.array_sort(F.collect_list(F.struct(F.col("pos").cast("long").alias("pos"), F.col("len").cast("long").alias("len"), "label"))).alias("x"))
+    d = d.withColumns({"f": _trim(F.col("x"), good_len, good_abs, pct), "b": _trim(F.reverse("x"), good_len, good_abs, pct)})
+    n = F.size("x")
+
+    def one(part):
+        first, last = F.element_at(part, 1), F.element_at(part, -1)
+        return F.array(F.struct(first["pos"].alias("pos"), (last["pos"] + last["len"] - first["pos"]).alias("len"), F.lit("contaminant").alias("label")))
+
+    some = lambda part, taken: F.when(taken > 0, one(part)).otherwise(F.slice("x", 1, 0))
+    ends = F.concat(some(F.slice("x", 1, F.greatest("f", F.lit(1))), F.col("f")), F.slice("x", F.col("f") + 1, F.greatest(n - F.col("f") - F.col("b"), F.lit(0))), some(F.slice("x", n - F.greatest("b", F.lit(1)) + 1, F.greatest("b", F.lit(1))), F.col("b")))
+    return d.select("seq_id", F.inline(F.when(F.col("f") + F.col("b") > n, one(F.col("x"))).otherwise(ends)))
+
+
 def decide(spans_: DataFrame, seqs: DataFrame, short: int = 50_000, share: float = 0.3, least: int = 200) -> DataFrame:
     """Actions (seq_id, pos, len, action) from spans (seq_id, pos, len, label, pct, same_kingdom) and lengths (seq_id, seq_len)."""
     n = spans_.groupBy("seq_id").agg(F.count("*").alias("n"), F.sum(F.when(F.col("label") != "contaminant", F.col("len")).otherwise(0)).alias("kept"))

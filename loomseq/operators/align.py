@@ -5,12 +5,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import words
+from . import rounds, words
 
 SEGMENT = "q_oid long, s_oid long, minus boolean, q long, s long, len long"
+COLUMNS = ["q_oid", "s_oid", "minus", "q", "s", "len"]
+TURN = np.arange(256, dtype=np.uint8)
+TURN[list(b"ACGT")] = list(b"TGCA")
 
 
 def chain_rows(q: np.ndarray, s: np.ndarray, n: np.ndarray, sid: np.ndarray, look_back: int = 1000, reach: int = 500_000) -> np.ndarray:
@@ -64,29 +67,97 @@ def extension(same: np.ndarray, drop: int = 20, penalty: int = 4) -> int:
     return int(value.argmax()) + 1 if len(value) and value.max() > 0 else 0
 
 
-def extend(segments: DataFrame, query: DataFrame, subject: DataFrame, cap: int = 2000) -> DataFrame:
-    """Segments of one strand, extended to both sides as long as the bases agree, with their numbers of mismatches and the sum of
-    squared match runs."""
-    j = segments.filter("not minus and q > 0").join(query.select(F.col("oid").alias("q_oid"), F.col("seq").alias("q_seq")), "q_oid").join(subject.select(F.col("oid").alias("s_oid"), F.col("seq").alias("s_seq")), "s_oid")
+def _pairs(segments: DataFrame, query: DataFrame, subject: DataFrame, work, schema: str) -> DataFrame:
+    """work(query bytes, subject bytes, rows) -> rows for each (query, subject, strand); rows are (q, s, len) from 0 by subject
+    place. Both sequences travel once for each pair, the query turned where the strand is minus."""
+    g = segments.groupBy("q_oid", "s_oid", F.coalesce("minus", F.lit(False)).alias("minus")).agg(F.array_sort(F.collect_set(F.struct("s", "q", "len"))).alias("segs"))
+    j = g.join(query.select(F.col("oid").alias("q_oid"), F.col("seq").alias("q_seq")), "q_oid").join(subject.select(F.col("oid").alias("s_oid"), F.col("seq").alias("s_seq")), "s_oid")
 
     def run(parts):
         for pdf in parts:
-            rows = []
+            out = []
             for r in pdf.itertuples(index=False):
                 a, b = (np.frombuffer(x.encode(), np.uint8) for x in (r.q_seq, r.s_seq))
-                q, s, n = r.q - 1, r.s - 1, r.len
-                left = min(q, s, cap)
-                lo = extension(a[q - left : q][::-1] == b[s - left : s][::-1]) if left else 0
-                right = min(len(a) - q - n, len(b) - s - n, cap)
-                hi = extension(a[q + n : q + n + right] == b[s + n : s + n + right]) if right > 0 else 0
-                q, s, n = q - lo, s - lo, n + lo + hi
-                same = a[q : q + n] == b[s : s + n]
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(int), [0]])))
-                runs = edge[1::2] - edge[::2]
-                rows.append((r.q_oid, r.s_oid, q + 1, s + 1, n, int((~same).sum()), int((runs * runs).sum())))
-            yield pd.DataFrame(rows, columns=["q_oid", "s_oid", "q", "s", "len", "mismatches", "run_squares"])
+                a, shift = (TURN[a[::-1]], len(a)) if r.minus else (a, -1)  # minus: place -n is base n of the other strand
+                found = work(a, b, [(x["q"] + shift if r.minus else x["q"] - 1, x["s"] - 1, x["len"]) for x in r.segs])
+                out += [(r.q_oid, r.s_oid, r.minus, q - shift if r.minus else q + 1, s + 1, *rest) for q, s, *rest in found]
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return j.select("q_oid", "s_oid", "minus", "segs", "q_seq", "s_seq").mapInPandas(run, schema)
+
+
+def grow(a: np.ndarray, b: np.ndarray, q: int, s: int, n: int, cap: int = 2000) -> tuple[int, int, int]:
+    """A segment extended to both sides as long as the bases agree."""
+    left, right = min(q, s, cap), min(len(a) - q - n, len(b) - s - n, cap)
+    lo = extension(a[q - left : q][::-1] == b[s - left : s][::-1]) if left > 0 else 0
+    hi = extension(a[q + n : q + n + right] == b[s + n : s + n + right]) if right > 0 else 0
+    return q - lo, s - lo, n + lo + hi
+
+
+def extend(segments: DataFrame, query: DataFrame, subject: DataFrame, cap: int = 2000) -> DataFrame:
+    """Segments of both strands, extended without gaps."""
+    return _pairs(segments, query, subject, lambda a, b, rows: sorted({grow(a, b, *r, cap) for r in rows}), SEGMENT)
+
+
+def best_shift(a: np.ndarray, b: np.ndarray, size: int = 24) -> tuple[int, int]:
+    """(shift, equal bases): by how much a must be shifted (or b, if negative) so that the next size bases of both agree best; a
+    shift costs its amount, and of equally good ones the least shift of a is taken."""
+    spare = min(len(a), len(b)) - size
+    tries = [(k, int((a[k : k + size] == b[:size]).sum())) for k in range(spare)] + [(-k, int((a[:size] == b[k : k + size]).sum())) for k in range(spare)]
+    return max(tries, key=lambda x: x[1] - abs(x[0]))
+
+
+def downstream(a: np.ndarray, b: np.ndarray, q: int, s: int, most: int, least: int = 10, room: int = 32, size: int = 24) -> list[tuple[int, int, int]]:
+    """Segments that go on after the places q and s, each found at the best shift behind the one before, up to ``most`` bases away
+    on b and as long as they have at least ``least`` bases."""
+    out, stop = [], s + most
+    while s + least < stop and q + room <= len(a) and s + room <= len(b):
+        shift, _ = best_shift(a[q : q + room], b[s : s + room], size)
+        seg = grow(a, b, q + max(shift, 0) + size // 2, s + max(-shift, 0) + size // 2, 1)
+        if seg[2] < least:
+            break
+        out.append(seg)
+        q, s = seg[0] + seg[2], seg[1] + seg[2]
+    return out
+
+
+def join_diagonals(rows: list[tuple[int, int, int]], gap: int = 5) -> list[tuple[int, int, int]]:
+    """Segments of one diagonal that overlap or are up to gap apart, as one."""
+    out: list[list[int]] = []
+    for d, q, n in sorted((s - q, q, n) for q, s, n in rows):
+        if out and out[-1][0] == d and q <= out[-1][1] + out[-1][2] + gap:
+            out[-1][2] = max(out[-1][2], q + n - out[-1][1])
+        else:
+            out.append([d, q, n])
+    return [(q, q + d, n) for d, q, n in out]
+
+
+def gapped(segments: DataFrame, query: DataFrame, subject: DataFrame, reach: int = 10_000, gap: int = 5) -> DataFrame:
+    """With continuations behind gaps: before the first and after the last segment of a pair up to reach, and between
+    neighbours, from both, as far as they are apart (up to reach where their order differs)."""
+
+    def work(a, b, rows):
+        back = lambda q, s, n, most: [(len(a) - x - m, len(b) - y - m, m) for x, y, m in downstream(a[::-1], b[::-1], len(a) - q, len(b) - s, most)]
+        found = back(*rows[0], reach) + downstream(a, b, rows[-1][0] + rows[-1][2], rows[-1][1] + rows[-1][2], reach)
+        for (q, s, n), y in zip(rows, rows[1:], strict=False):
+            near = 10 + max(0, min(y[0] - q - n, y[1] - s - n)) if q < y[0] and s < y[1] else reach
+            found += downstream(a, b, q + n, s + n, near) + back(*y, near)
+        return join_diagonals(rows + found, gap)
+
+    return _pairs(segments, query, subject, work, SEGMENT)
+
+
+def measure(segments: DataFrame, query: DataFrame, subject: DataFrame) -> DataFrame:
+    """Segments with their numbers of mismatches and the sum of squared match runs."""
+
+    def work(a, b, rows):
+        for q, s, n in rows:
+            same = a[q : q + n] == b[s : s + n]
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(int), [0]])))
+            runs = edge[1::2] - edge[::2]
+            yield q, s, n, int((~same).sum()), int((runs * runs).sum())
 
-    return j.select("q_oid", "s_oid", "q", "s", "len", "q_seq", "s_seq").mapInPandas(run, "q_oid long, s_oid long, q long, s long, len long, mismatches long, run_squares long")
+    return _pairs(segments, query, subject, work, SEGMENT + ", mismatches long, run_squares long")
 
 
 def drop_shadows(segments: DataFrame) -> DataFrame:
@@ -111,7 +182,7 @@ def drop_stacks(segments: DataFrame) -> DataFrame:
     return segments.withColumn("_n", n).filter(~(((F.col("_n") >= 32) & (F.col("len") <= 110)) | ((F.col("_n") >= 64) & (F.col("len") <= 150)))).drop("_n")
 
 
-def drop_crud(segments: DataFrame, by: list[str], chunk: int = 100_000) -> DataFrame:
+def drop_crud(segments: DataFrame, by: list[str], chunk: int | Column = 100_000) -> DataFrame:
     """Without groups of short extensions: less than 50 beyond seed length in all, and less than a tenth of the chunk."""
     g = segments.groupBy(*by).agg(F.sum(F.greatest(F.col("len") - 56, F.lit(0))).alias("_e"), F.sum("len").alias("_l")).filter((F.col("_e") >= 50) | (F.col("_l") * 10 >= chunk))
     return segments.join(g.select(*by), by, "left_semi")
@@ -123,14 +194,22 @@ def segment_scores(segments: DataFrame, min_identity: int = 40) -> DataFrame:
     return segments.filter(keep).withColumn("l2", F.floor(F.sqrt("run_squares") + 0.5).cast("long"))
 
 
-def align(query: DataFrame, subject: DataFrame, stride: int = 11) -> DataFrame:
-    """Seeds, occurrence cap, coalescing, neighbours, shadows, chain, extension, scores."""
+def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 300) -> DataFrame:
+    """Seeds, occurrence cap, coalescing, neighbours, shadows, extension, chain; a second round of finer seeds around what was
+    found; extension with and without gaps, chain, and scores."""
     index = words.build_index(subject, stride=stride)
     seeds = words.occurrence_cap(words.seed_join(words.spaced_words(query), index))
-    seg = words.near_neighbours(words.coalesce(seeds))
-    seg = drop_stacks(drop_shadows(seg)).join(subject.select(F.col("oid").alias("s_oid"), "tax_id"), "s_oid")
-    seg = best_chain(seg.select("q_oid", "s_oid", "minus", "q", "s", "len", "tax_id"), ["q_oid", "tax_id"])
-    return segment_scores(extend(seg, query, subject))
+    seg = drop_stacks(drop_shadows(words.near_neighbours(words.coalesce(seeds))))
+    taxon = subject.select(F.col("oid").alias("s_oid"), "tax_id")
+    by = ["q_oid", "tax_id"]
+    first = best_chain(extend(seg, query, subject).join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by).filter("len > 56")
+    more = rounds.second_round(first, query.filter(F.length("seq") >= short), subject)
+    more = best_chain(more, ["q_oid", "s_oid"]).select(*COLUMNS)
+    seg = gapped(extend(first.select(*COLUMNS).unionByName(more), query, subject), query, subject)
+    seg = best_chain(seg.join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by)
+    seg = seg.join(query.select(F.col("oid").alias("q_oid"), F.length("seq").alias("q_len")), "q_oid")
+    seg = drop_crud(seg, [*by, "q_len"], F.col("q_len")).select(*COLUMNS)
+    return segment_scores(measure(seg, query, subject))
 
 
 def best_subarray(df: DataFrame, key: list[str], order: list[str], value: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..adapters import IV, NODES, QRY, SBJ, intervals, nodes, probes, subjects, table
 from ..functions import scalars as x
 from ..operators import actions as act
-from ..operators import align, classify, dataflow as df_, intervals as iv, select, sketch, taxify, words
+from ..operators import align, classify, dataflow as df_, hits, intervals as iv, rounds, select, sketch, taxify, words
 from ..streaming import events as ev
 
 Q: dict = {}
@@ -180,6 +180,34 @@ query("best_chain")(lambda s, d: align.best_chain(words.coalesce(seeds(s, d)), [
 query("drop_shadows")(lambda s, d: align.drop_shadows(words.coalesce(seeds(s, d))))
 query("drop_stacks", f"WITH {IDX}, {QW}, {SEG} SELECT * FROM seg WINDOW w AS (PARTITION BY q_oid, s_oid, s, len) QUALIFY NOT ((count(*) OVER w >= 32 AND len <= 110) OR (count(*) OVER w >= 64 AND len <= 150))")(lambda s, d: align.drop_stacks(words.coalesce(seeds(s, d))))
 query("drop_crud", f"WITH {IDX}, {QW}, {SEG}, g AS (SELECT q_oid FROM seg GROUP BY q_oid HAVING sum(greatest(len - 56, 0)) >= 50 OR sum(len) * 10 >= 100000) SELECT seg.* FROM seg WHERE q_oid IN (SELECT q_oid FROM g)")(lambda s, d: align.drop_crud(words.coalesce(seeds(s, d)), ["q_oid"]))
+segs = lambda s, d: words.coalesce(seeds(s, d))
+taxed = lambda s, d: segs(s, d).join(subjects(s, d).select(F.col("oid").alias("s_oid"), "tax_id"), "s_oid")
+NORM = "ns AS (SELECT q_oid, tax_id, count(*) AS n, CAST(sum(len) AS BIGINT) AS sum_len, CAST(sum(len * len) AS BIGINT) AS sum_squares, max(len) AS max_len, sum(len) / count(*) AS mean_len, sum(len * len) / count(*) AS mean_square FROM seg JOIN sbj ON s_oid = sbj.oid GROUP BY ALL)"
+query("taxon_norms", f"WITH {IDX}, {QW}, {SEG}, {NORM} SELECT q_oid, tax_id, n, sum_len, sum_squares, max_len, round(mean_len, 4) AS mean_len, round(mean_square, 4) AS mean_square FROM ns")(lambda s, d: rounds.taxon_norms(taxed(s, d)).withColumns({c: F.round(c, 4) for c in ("mean_len", "mean_square")}))
+CAND = "cx AS (SELECT q_oid, tax_id, tax_id % 4 AS div, unnest([0, 1, 2, 3, 4, 5]) AS k, unnest([n, sum_len, sum_squares, max_len, mean_len, mean_square]) AS v FROM ns), cr AS (SELECT *, row_number() OVER w AS r, first_value(div) OVER w AS d0 FROM cx WINDOW w AS (PARTITION BY q_oid, k ORDER BY v DESC, tax_id)), cd AS (SELECT *, min(CASE WHEN div <> d0 AND r > 2 THEN r END) OVER (PARTITION BY q_oid, k) AS o FROM cr), cand AS (SELECT DISTINCT q_oid, tax_id FROM cd WHERE r <= 2 OR r = o)"
+query("candidate_taxa", f"WITH {IDX}, {QW}, {SEG}, {NORM}, {CAND} SELECT * FROM cand")(lambda s, d: rounds.candidate_taxa(rounds.taxon_norms(taxed(s, d)), subjects(s, d).select("tax_id", (F.col("tax_id") % 4).alias("div")).distinct()))
+NEAR = f"nx AS (SELECT seg.q_oid, seg.s_oid, s AS a, s + len AS e, least(100000, 2 * length(qry.seq)) AS n, length(sbj.seq) AS sl, lag(s + len) OVER w AS pe, lead(s) OVER w AS ns FROM seg JOIN qry ON q_oid = qry.oid JOIN sbj ON s_oid = sbj.oid WINDOW w AS (PARTITION BY q_oid, s_oid ORDER BY s, len, q)), ny AS (SELECT q_oid, s_oid, sl, CASE WHEN pe IS NULL OR a - pe >= 2 * n THEN a - n ELSE pe END AS x, a AS y FROM nx WHERE pe IS NULL OR a - pe >= 30 OR a - pe >= 2 * n UNION ALL SELECT q_oid, s_oid, sl, e, e + n FROM nx WHERE ns IS NULL OR ns - e >= 2 * n), nz AS (SELECT q_oid, s_oid, greatest(x - 50, 1) AS pos, least(y + 50, sl + 1) - greatest(x - 50, 1) AS len FROM ny), np AS (SELECT * FROM nz WHERE len > 0), {merged('np', 'q_oid, s_oid', 50, 'near')}"
+
+
+def _sizes(s, d):
+    q, b = probes(s, d), subjects(s, d)
+    pair = segs(s, d).select("q_oid", "s_oid").distinct()
+    return pair.join(q.select(F.col("oid").alias("q_oid"), F.length("seq").alias("q_len")), "q_oid").join(b.select(F.col("oid").alias("s_oid"), F.length("seq").alias("s_len")), "s_oid")
+
+
+query("neighbourhoods", f"WITH {IDX}, {QW}, {SEG}, {NEAR} SELECT q_oid, s_oid, pos, len FROM near")(lambda s, d: rounds.neighbourhoods(segs(s, d), _sizes(s, d)))
+query("second_round", f"""WITH {IDX}, {QW}, {SEG}, {NORM}, {CAND.replace('tax_id % 4 AS div', '0 AS div')}, {NEAR.replace('FROM seg JOIN qry', 'FROM seg JOIN cand USING (q_oid) JOIN qry').replace('JOIN sbj ON s_oid = sbj.oid WINDOW', 'JOIN sbj ON s_oid = sbj.oid AND sbj.tax_id = cand.tax_id WINDOW')},
+pc AS (SELECT s_oid AS oid, q_oid, pos - 1 AS o, substring(seq, pos, len) AS seq FROM near JOIN sbj ON s_oid = sbj.oid), {word_sql('pc', 29, name='pw', extra=', q_oid, o')}, {word_sql('qry', 29, name='qs')}, qk AS (SELECT *, count(*) OVER (PARTITION BY oid, word) AS c FROM qs),
+s2 AS (SELECT DISTINCT pw.q_oid, pw.oid AS s_oid, CASE WHEN pw.pos < 0 THEN 1 - qk.pos - 29 ELSE qk.pos END AS q, CASE WHEN pw.pos < 0 THEN 1 - pw.pos - 29 ELSE pw.pos END + o AS s FROM qk JOIN pw ON qk.oid = pw.q_oid AND qk.word = pw.word WHERE c <= 10),
+l2 AS (SELECT *, q < 0 AS minus, lag(q) OVER (PARTITION BY q_oid, s_oid, q < 0, s - q ORDER BY q) AS p FROM s2), g2 AS (SELECT *, sum(CASE WHEN p IS NULL OR q > p + 34 THEN 1 ELSE 0 END) OVER (PARTITION BY q_oid, s_oid, minus, s - q ORDER BY q) AS g FROM l2)
+SELECT q_oid, s_oid, minus, min(q) AS q, min(s) AS s, max(q) + 29 - min(q) AS len FROM g2 GROUP BY q_oid, s_oid, minus, s - q, g HAVING max(q) + 29 - min(q) >= 50""")(lambda s, d: rounds.second_round(taxed(s, d), probes(s, d), subjects(s, d)))
+query("gapped_extension")(lambda s, d: align.gapped(align.extend(segs(s, d), probes(s, d), subjects(s, d)), probes(s, d), subjects(s, d)))
+query("drop_self", f"WITH {IDX}, {QW}, {SEG} SELECT q_oid || '~1..9' AS q_id, s_oid AS s_id, s, len FROM seg WHERE q_oid <> s_oid")(lambda s, d: hits.drop_self(segs(s, d).select(F.concat("q_oid", F.lit("~1..9")).alias("q_id"), F.col("s_oid").alias("s_id"), "s", "len")))
+query("drop_taxa", f"WITH {IDX}, {QW}, {SEG} SELECT q_oid, s_oid, tax_id, s, len FROM seg JOIN sbj ON s_oid = sbj.oid WHERE tax_id NOT IN (3, 5)")(lambda s, d: hits.drop_taxa(taxed(s, d), [3, 5]).select("q_oid", "s_oid", "tax_id", "s", "len"))
+query("tag_extrachromosomal", "SELECT event_id AS id, user_id AS s_id, event_type AS div, user_id % 3 = 0 AND event_type = 'click' AS extra FROM events")(lambda s, d: (lambda i: hits.tag_extrachromosomal(i.select("id", F.col("seq_id").alias("s_id"), "div"), i.filter("seq_id % 3 = 0").select(F.col("seq_id").alias("s_id")), "click"))(intervals(s, d)))
+query("batches", "SELECT doc_id, CAST((sum(n_chars) OVER (ORDER BY doc_id) - n_chars) // 100000 AS BIGINT) AS batch FROM documents")(lambda s, d: hits.batches(table(s, d, "documents").select("doc_id", "n_chars"), "doc_id", F.col("n_chars")).select("doc_id", "batch"))
+query("repeat_source", "WITH t AS (SELECT doc_id AS seq_id, n_chars AS len FROM documents), r AS (SELECT *, sum(len) OVER (ORDER BY len, seq_id) AS up FROM t WHERE len >= 300 AND len < 20000) SELECT seq_id, len FROM r WHERE up * 5 + 5 * (SELECT coalesce(sum(len), 0) FROM t WHERE len < 300) >= (SELECT sum(len) FROM t) UNION ALL SELECT * FROM t WHERE len >= 20000")(lambda s, d: hits.repeat_source(table(s, d, "documents").select(F.col("doc_id").alias("seq_id"), F.col("n_chars").alias("len")), 300, 20_000))
+query("n_counts", f"SELECT item_id AS oid, length({NR}) - length(replace({NR}, 'N', '')) AS n FROM benchmark")(lambda s, d: hits.n_counts(_ntext(s, d)))
 query("best_subarray", "WITH p AS (SELECT user_id, event_id, sum(value - 50) OVER (PARTITION BY user_id ORDER BY event_id) AS s FROM events), m AS (SELECT user_id, s - least(0, coalesce(min(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS v FROM p) SELECT user_id, round(max(v), 4) AS best FROM m GROUP BY user_id")(lambda s, d: align.best_subarray(evs(s, d).withColumn("v", F.col("value") - 50), ["user_id"], ["event_id"], "v").withColumn("best", F.round("best", 4)))
 
 # ---- taxonomy -----------------------------------------------------------------------------------------------------------
@@ -209,6 +237,7 @@ query("ultraconserved", f"WITH {IV}, e AS (SELECT seq_id, div, unnest(range(pos
 query("chimeric_intervals", f"WITH {NODES}, {merged('nodes', 'q_id, div', name='n')}, c AS (SELECT *, sum(len) OVER (PARTITION BY q_id, div ORDER BY pos) AS cs FROM n), k AS (SELECT x.q_id, x.div, x.pos, y.pos + y.len - x.pos AS len FROM c x JOIN c y ON x.q_id = y.q_id AND x.div = y.div AND y.pos >= x.pos AND y.pos + y.len - x.pos <= 2000 AND (y.cs - x.cs + x.len) * 100 >= 50 * (y.pos + y.len - x.pos)), {merged('k', 'q_id, div')} SELECT q_id, div, pos, len FROM m")(lambda s, d: taxify.chimeric_intervals(nodes(s, d)))
 DIVR = f"{merged('nodes', 'q_id, div', name='dv')}, dc AS (SELECT q_id, div, sum(len) AS cvg FROM dv GROUP BY ALL), {merged('nodes', 'q_id', name='al')}, ac AS (SELECT q_id, sum(len) AS cvg FROM al GROUP BY ALL), wh AS (SELECT q_id, max(pos + len) - 1 AS n FROM nodes GROUP BY ALL)"
 query("div_report", f"WITH {NODES}, {TOP}, {DIVR} SELECT t4.q_id, wh.n AS seq_len, CAST(ac.cvg AS BIGINT) AS cvg_by_all, string_agg(tax_id || ':' || t4.div || ':' || CAST(dc.cvg AS BIGINT) || ':' || cvg_by_tax || ':' || CAST(floor(score + 0.5) AS BIGINT), '|' ORDER BY rank) AS taxa FROM t4 JOIN dc ON t4.q_id = dc.q_id AND t4.div = dc.div JOIN ac ON t4.q_id = ac.q_id JOIN wh ON wh.q_id = t4.q_id GROUP BY ALL")(lambda s, d: (lambda n: taxify.report(n, whole(n)).select("q_id", "seq_len", "cvg_by_all", F.array_join(F.transform("taxa", lambda t: F.concat_ws(":", t["tax_id"].cast("string"), t["div"], t["cvg_by_div"].cast("string"), t["cvg_by_tax"].cast("string"), t["score"].cast("string"))), "|").alias("taxa")))(nodes(s, d)))
+query("run_info", f"WITH {NODES}, {DIVR}, t AS (SELECT count(*) AS c, CAST(sum(wh.n) AS BIGINT) AS l, round(CAST(sum(ac.cvg) AS DOUBLE) / sum(wh.n), 6) AS g FROM wh JOIN ac USING (q_id)) SELECT '{{\"sequences\":' || c || ',\"length\":' || l || ',\"coverage\":' || g || ',\"asserted_div\":\"click\",\"primary_divs\":[' || (SELECT string_agg('\"' || div || '\"', ',' ORDER BY div) FROM (SELECT DISTINCT div FROM nodes)) || ']}}' AS info FROM t")(lambda s, d: (lambda n: hits.run_info(taxify.report(n, whole(n)), "click", n.select("div")))(nodes(s, d)))
 query("subject_regions", f"WITH {IV}, s AS (SELECT div AS s_id, pos, len FROM iv), {merged('s', 's_id', 1000)} SELECT s_id, pos, len FROM m")(lambda s, d: taxify.subject_regions(intervals(s, d).select(F.col("div").alias("s_id"), "pos", "len")))
 
 # ---- classes and actions ------------------------------------------------------------------------------------------------
@@ -261,6 +290,18 @@ query("integrants", f"WITH {ROWS} SELECT seq_id, at, len FROM r WHERE label = 'c
 query("summary_rollup", f"WITH {ROWS} SELECT coalesce(div, 'TOTAL') AS div, count(*) AS n, CAST(sum(len) AS BIGINT) AS len FROM r GROUP BY ROLLUP (div)")(lambda s, d: act.summary(rows(s, d), "div"))
 
 
+CHROWS = "c AS (SELECT seq_id, label, CASE WHEN seq_id % 3 = 0 THEN 'anml:insects' ELSE div END AS div, CASE WHEN label = 'contaminant' AND seq_id % 5 < 4 THEN 'Wolbachia sp.' ELSE 'other' END AS tax_name FROM r WHERE label <> 'grey')"
+query("endosymbiont_chimeras", f"WITH {ROWS}, {CHROWS}, f AS (SELECT seq_id, label = 'contaminant' AND tax_name LIKE 'Wolb%' AS g, label = 'primary' AND div = 'anml:insects' AS h FROM c) SELECT seq_id FROM f GROUP BY seq_id HAVING bool_and(g OR h) AND bool_or(g) AND bool_or(h)")(lambda s, d: act.endosymbiont_chimeras(rows(s, d).filter("label <> 'grey'").select("seq_id", "label", F.when(F.col("seq_id") % 3 == 0, "anml:insects").otherwise(F.col("div")).alias("div"), F.when((F.col("label") == "contaminant") & (F.col("seq_id") % 5 < 4), "Wolbachia sp.").otherwise("other").alias("tax_name")), ["anml:insects", "anml:nematodes"]))
+
+
+def placed(s, d):
+    w = Window.partitionBy("seq_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    return act.spans(rows(s, d)).withColumn("pos", F.coalesce(F.sum("len").over(w), F.lit(0)) + 1).select("seq_id", "pos", "len", F.col("span_label").alias("label"))
+
+
+query("trim_ends")(lambda s, d: act.trim_ends(placed(s, d), good_len=60, good_abs=15))
+
+
 def _edits(s, d):
     p = probes(s, d).select(F.col("oid").cast("string").alias("seq_id"), "seq")
     k = F.col("seq_id").cast("long")

@@ -1,7 +1,9 @@
 import math
 import os
+import random
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given
@@ -9,14 +11,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomseq.functions import scalars as x
-from loomseq.operators import actions, intervals, sketch
+from loomseq.operators import actions, align, hits, intervals, sketch
 from loomseq.operators.align import maximal_subarrays
 from loomseq.plans.queries import SQL, Q
 from loomseq.sources import files
 from loomseq.streaming import events
 
 SF = "/root/testdata/sf0.001"
-SOME = ["where", "group_adjacent", "in_groups_of", "sliding_window", "take_while", "zip_with", "foldl", "enumerated", "iv_merge", "iv_invert_whole", "iv_intersect", "iv_subtract", "iv_session", "windows_sliding", "index_keep2", "seed_join_tiered", "seed_coalesce", "split_runs", "hash64", "top2_per_div_top4", "running_div_stats", "chimeric_intervals", "div_report", "spans", "seq_stats", "apply_actions", "summary_rollup", "flagship"]
+SOME = ["where", "group_adjacent", "in_groups_of", "sliding_window", "take_while", "zip_with", "foldl", "enumerated", "iv_merge", "iv_invert_whole", "iv_intersect", "iv_subtract", "iv_session", "windows_sliding", "index_keep2", "seed_join_tiered", "seed_coalesce", "split_runs", "hash64", "top2_per_div_top4", "running_div_stats", "chimeric_intervals", "div_report", "spans", "seq_stats", "apply_actions", "summary_rollup", "flagship", "taxon_norms", "candidate_taxa", "neighbourhoods", "second_round", "drop_self", "tag_extrachromosomal", "batches", "repeat_source", "n_counts", "endosymbiont_chimeras", "run_info"]
 
 
 def rows(df: pd.DataFrame):
@@ -119,3 +121,77 @@ def test_signature_of_equal_texts():
 def test_maximal_subarrays_are_apart(values):
     got = maximal_subarrays(values)
     assert all(a < b for a, b in got) and all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
+
+
+def bases(n, seed):
+    return "".join(random.Random(seed).choices("ACGT", k=n))
+
+
+def test_best_shift():
+    a = np.frombuffer(bases(32, 1).encode(), np.uint8)
+    b = np.frombuffer((bases(32, 1)[5:] + "ACGTA").encode(), np.uint8)
+    assert align.best_shift(a, b) == (5, 24)
+    assert align.best_shift(b, a) == (-5, 24)
+    assert align.best_shift(a, a) == (0, 24)
+
+
+@pytest.mark.parametrize("minus", [False, True])
+def test_gapped_continuation_on_both_strands(spark, minus):
+    left, right = bases(120, 2), bases(150, 3)
+    query, subject = left + right, bases(40, 4) + left + "ACG" + right + bases(40, 5)
+    if minus:
+        query = query[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    q = spark.createDataFrame([(1, query)], "oid long, seq string")
+    t = spark.createDataFrame([(2, subject)], "oid long, seq string")
+    start = -len(query) if minus else 1
+    seed = spark.createDataFrame([(1, 2, minus, start + 30, 71, 56)], align.SEGMENT)
+    first = align.extend(seed, q, t)
+    (one,) = first.collect()
+    assert (one.q, one.s) == (start, 41) and 118 <= one.len <= 124
+    both = sorted((r.s, r.len) for r in align.gapped(first, q, t).collect() if r.len > 20)
+    assert len(both) == 2 and abs(both[1][0] - 164) <= 4 and both[1][0] + both[1][1] == 314
+    m = align.measure(first, q, t).first()
+    assert m.mismatches <= 2 and m.run_squares >= 118**2
+
+
+def trimmed(spans, good_len, good_abs, pct):
+    def take(items):
+        taken = bad = good = 0
+        last = None
+        for i, (_, n, label) in enumerate(items):
+            if label == "contaminant":
+                bad += n
+                if i and (last is None or last >= good_abs) and good * 100 >= bad * pct:
+                    break
+                last, taken = None, i
+            elif label == "primary":
+                if n >= good_len:
+                    break
+                last, good = n, good + n
+        return taken + 1 if taken else 0
+
+    one = lambda x: [(x[0][0], x[-1][0] + x[-1][1] - x[0][0], "contaminant")] if x else []
+    f, b = take(spans), take(spans[::-1])
+    return one(spans) if f + b > len(spans) else one(spans[:f]) + spans[f : len(spans) - b] + one(spans[len(spans) - b :])
+
+
+def test_trim_ends(spark):
+    rng, cases = random.Random(6), {}
+    for k in range(300):
+        at, cases[k] = 1, []
+        for _ in range(rng.randint(1, 9)):
+            n = rng.choice([3, 8, 20, 70])
+            cases[k].append((at, n, rng.choice(["contaminant", "primary", "grey"])))
+            at += n
+    df = spark.createDataFrame([(k, *x) for k, xs in cases.items() for x in xs], "seq_id long, pos long, len long, label string")
+    got = {k: [] for k in cases}
+    for r in actions.trim_ends(df, 60, 15, 30).collect():
+        got[r.seq_id].append((r.pos, r.len, r.label))
+    assert {k: sorted(x) for k, x in got.items()} == {k: trimmed(x, 60, 15, 30) for k, x in cases.items()}
+    assert actions.trim_ends(df.limit(0)).count() == 0
+
+
+def test_running_total_over_stretches(spark):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    got = {r.id: r.t for r in hits.running_total(df, "id", F.col("v"), "t", width=64).collect()}
+    assert got == {i: sum(k % 7 for k in range(i)) for i in range(1000)}
