@@ -1,7 +1,7 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is cut into flat blocks at block-level tags. A block has its number of words, the share of them inside links, the
-same two numbers of its neighbours, and what encloses it: whether inside an article or main element, inside a boilerplate
+same two numbers of its neighbours, and what encloses it: whether inside an article, main or content element, inside a boilerplate
 element (nav, header outside an article, footer, aside, form, ...), inside a container whose class or id names
 boilerplate, or inside a heading. A decision tree, grown once on the small labelled table below, says which blocks are text.
 Markup that never shows (script, style, template, head, comments of the markup) makes no block.
@@ -26,6 +26,7 @@ RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "template"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BOILER = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset", "header", "address"}
+CONTENT = re.compile(r"(?i)^(?:article|content|entry|main|post|story)(?:[_-]?(?:area|article|body|content|main|text))?$")
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 NAMED = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|signup|sign-up|login|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|widget|footer|header|masthead|topbar|share|sharing|social|related|recommended|comments?|replies|reply|disqus|discussion|pagination|pager|tags?|copyright|legal|search|toolbar|skip)(?:$|[\s_-])")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar"}
@@ -34,6 +35,21 @@ NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "article", "boiler", "named", "heading")
 
 
+def _attributes(text: str) -> tuple[str, str, bool]:
+    """(class and id, role, whether hidden)"""
+    mark = role = ""
+    gone = False
+    for k, v in NAMES.findall(text) if text else ():
+        k, v = k.lower(), v.strip("\"'")
+        if k in ("class", "id"):
+            mark += " " + v
+        elif k == "role":
+            role = v.lower()
+        else:
+            gone = gone or k == "hidden" or (k == "aria-hidden" and v.lower() == "true") or (k == "style" and re.search(r"display\s*:\s*none", v, re.I) is not None)
+    return mark, role, gone
+
+
 def blocks(page: str | None) -> list[tuple[str, int, float, int, int, int, int]]:
     """(text, words, share of linked words, in article, in boilerplate element, in named container, heading)"""
     if not page:
@@ -72,6 +88,12 @@ def blocks(page: str | None) -> list[tuple[str, int, float, int, int, int, int]]
         if tag == "a":
             anchors = 0 if closing else 1
         if tag in INLINE:
+            inside = bool(stack) and stack[-1][0] in INLINE  # what a hidden inline element holds
+            if closing and inside and stack[-1][0] == tag:
+                hidden -= stack.pop()[1]
+            elif not closing and tag not in VOID and ((inside and stack[-1][0] == tag) or (m[3] and _attributes(m[3])[2])):
+                stack.append((tag, 1, 0, 0, 0))
+                hidden += 1
             continue
         if not hidden:
             flush()
@@ -95,16 +117,8 @@ def blocks(page: str | None) -> list[tuple[str, int, float, int, int, int, int]]
         if tag == "body":  # a head that was never closed
             hidden = sum(x[1] for x in stack if x[0] != "head") if stack else 0
             stack = [x if x[0] != "head" else ("head", 0, *x[2:]) for x in stack]
-        mark = gone = role = ""
-        for k, v in NAMES.findall(m[3]) if m[3] else ():
-            k, v = k.lower(), v.strip("\"'")
-            if k in ("class", "id"):
-                mark += " " + v
-            elif k == "role":
-                role = v.lower()
-            elif k == "hidden" or (k == "aria-hidden" and v.lower() == "true") or (k == "style" and re.search(r"display\s*:\s*none", v, re.I)):
-                gone = "y"
-        own = (tag, int(tag in HIDDEN or bool(gone)), int(tag in ("article", "main") or role == "main"), int((tag in BOILER and not (tag == "header" and article)) or role in ROLES), int(tag not in ("html", "body", "article", "main") and bool(NAMED.search(mark))))
+        mark, role, gone = _attributes(m[3])
+        own = (tag, int(tag in HIDDEN or gone), int(tag in ("article", "main") or role == "main" or (tag != "body" and any(map(CONTENT.match, mark.split())))), int((tag in BOILER and not (tag == "header" and article)) or role in ROLES), int(tag not in ("html", "body", "article", "main") and bool(NAMED.search(mark))))
         if tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == tag:
             _, h, a, b, c = stack.pop()
             hidden, article, boiler, named = hidden - h, article - a, boiler - b, named - c

@@ -123,6 +123,12 @@ def test_html(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_html_without_article_and_with_hidden_inline_text():
+    tree = html_text.grow(*html_text.labelled())
+    page = "<body><div id='header'>My site name</div><div class='menu'><a>A</a> <a>B</a></div><div class='post-content'><h1>Title of it</h1><p>A first paragraph with <a href=x>a link</a> and some more than ten words inside.</p><p>End <span hidden>se<span>cr</span>et</span><b style='display: none'>gone</b>word.</p><div class='comments'><p>reader says hi</p></div></div><div class='sidebar'><p>Other things that are long enough to look like text.</p></div>"
+    assert html_text.main_text(page, tree) == "Title of it A first paragraph with a link and some more than ten words inside. End word."
+
+
 def test_html_keeps_articles_of_test_pages(spark):
     import html as h
     import re
