@@ -93,20 +93,21 @@ def _induce_by_bucket(sa, s, stype, heads, ends, k):
 
 
 def _induce_by_entry(sa_array, s_array, stype, heads, ends):
-    sa, s, small = sa_array.tolist(), s_array.tolist(), stype.tolist()
-    head, end, n = heads.tolist(), ends.tolist(), len(s)
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not small[j]:
-            c = s[j]
-            sa[head[c]] = j
-            head[c] += 1
-    for i in range(n - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and small[j]:
-            c = s[j]
-            end[c] -= 1
-            sa[end[c]] = j
+    """One pass for each kind; a list's iterators see what the pass itself puts ahead of them."""
+    bucket = np.full(len(s_array) + 1, -1, np.int64)  # of the suffix to the left; the last entry serves empty places
+    bucket[1:-1] = np.where(stype[:-1], -1, s_array[:-1])
+    sa, to, at = sa_array.tolist(), bucket.tolist(), heads.tolist()
+    for i in sa:
+        if (c := to[i]) >= 0:
+            k = at[c]
+            sa[k] = i - 1
+            at[c] = k + 1
+    bucket[1:-1] = np.where(stype[:-1], s_array[:-1], -1)
+    to, at = bucket.tolist(), ends.tolist()
+    for i in reversed(sa):
+        if (c := to[i]) >= 0:
+            k = at[c] = at[c] - 1
+            sa[k] = i - 1
     sa_array[:] = sa
 
 
