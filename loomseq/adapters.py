@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,17 @@ def barrier(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, computed now and kept in the checkpoint folder that executors share; what reads them several times does not
+    compute them again. A private folder serves only where none is set, as in tests."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = tempfile.mkdtemp(prefix="loomseq-")
+        atexit.register(shutil.rmtree, folder, True)
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def bases(col):
     return F.translate(F.lower(F.regexp_replace(col, "[^A-Za-z]", "")), LETTERS, BASES)
 

@@ -72,6 +72,28 @@ def integrants(rows: DataFrame) -> DataFrame:
     return d.filter("label = 'contaminant' and _a = 1 and _b = 1").drop("_a", "_b")
 
 
+def hosted_integrants(spans_: DataFrame, pattern: str = "(?i)wolbachia") -> DataFrame:
+    """Spans (seq_id, pos, len, label, div, tax_name) that are probably part of the genome: between two neighbouring primary spans that
+    both are prokaryotes or both are not, every decided span is an endosymbiont in a eukaryote, or a virus that the host on the
+    left can have, with no gap between a primary span and a contaminant next to it."""
+    w = Window.partitionBy("seq_id").orderBy("pos")
+    prim = F.col("label") == "primary"
+    prok = lambda c: F.substring(c, 1, 4) == "prok"
+    me = F.struct("div", F.col("pos").alias("at"))
+    d = spans_.withColumns({"_l": F.last(F.when(prim, me), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "_r": F.first(F.when(prim, me), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
+    end = F.col("pos") + F.col("len")
+    turn = lambda c: F.coalesce((prim & (c == "contaminant")) | ((F.col("label") == "contaminant") & (c == "primary")), F.lit(False))
+    before = turn(F.lag("label").over(w)) & (F.lag(end).over(w) < F.col("pos"))
+    after = turn(F.lead("label").over(w)) & (end < F.lead("pos").over(w))
+    d = d.withColumn("_gap", before | after).filter(~prim & F.col("_l").isNotNull() & F.col("_r").isNotNull())
+    inside = Window.partitionBy("seq_id", "_l.at")
+    host, div = F.col("_l.div"), F.col("div")
+    guest = F.coalesce(F.col("tax_name").rlike(pattern), F.lit(False)) & F.substring(host, 1, 4).isin("anml", "fung", "plnt", "prst")
+    virus = div.contains("virus") & ~host.startswith("virs:") & div.startswith(F.when(prok(host), "virs:prokaryotic").otherwise("virs:eukaryotic")) & ~F.max("_gap").over(inside)
+    fits = (F.col("label") == "grey") | guest | virus
+    return d.withColumn("_ok", F.min(fits).over(inside)).filter(F.col("_ok") & (prok(host) == prok(F.col("_r.div")))).select(*spans_.columns)
+
+
 def endosymbiont_chimeras(rows: DataFrame, hosts: list[str], pattern: str = "Wolbachia|Rickettsia") -> DataFrame:
     """(seq_id) of sequences made of nothing but rows of a host division (primary, repeat or low coverage) and contaminant rows of
     endosymbionts, with some of both. rows: (seq_id, label, div, tax_name)."""

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..adapters import settled
 from . import rounds, words
 
 SEGMENT = "q_oid long, s_oid long, minus boolean, q long, s long, len long"
@@ -202,11 +203,11 @@ def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 3
     seg = drop_stacks(drop_shadows(words.near_neighbours(words.coalesce(seeds))))
     taxon = subject.select(F.col("oid").alias("s_oid"), "tax_id")
     by = ["q_oid", "tax_id"]
-    first = best_chain(extend(seg, query, subject).join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by).filter("len > 56")
+    first = settled(best_chain(extend(seg, query, subject).join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by).filter("len > 56"))
     more = rounds.second_round(first, query.filter(F.length("seq") >= short), subject)
     more = best_chain(more, ["q_oid", "s_oid"]).select(*COLUMNS)
     seg = gapped(extend(first.select(*COLUMNS).unionByName(more), query, subject), query, subject)
-    seg = best_chain(seg.join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by)
+    seg = settled(best_chain(seg.join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by))
     seg = seg.join(query.select(F.col("oid").alias("q_oid"), F.length("seq").alias("q_len")), "q_oid")
     seg = drop_crud(seg, [*by, "q_len"], F.col("q_len")).select(*COLUMNS)
     return segment_scores(measure(seg, query, subject))

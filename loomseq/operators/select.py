@@ -45,3 +45,24 @@ def sync_status(manifest: DataFrame, found: DataFrame) -> DataFrame:
     f = found.select("path", F.col("size").alias("_s"), F.col("digest").alias("_d"))
     j = manifest.join(f, "path", "full_outer")
     return j.select("path", F.when(F.col("_s").isNull(), "missing").when(F.col("size").isNull(), "extra").when(F.col("size") != F.col("_s"), "size").when(F.col("digest") != F.col("_d"), "checksum").otherwise("up-to-date").alias("status"))
+
+
+def assembly_weight(a: DataFrame) -> DataFrame:
+    """With the preference of each assembly: refused -1, accepted 10, from the curated collection 7 to 5 by its category, from the other
+    4 to 2 where that is in scope for its division, else 1 with a category and 0 without. Columns: accept, refuse, curated_id,
+    category, div, excluded (array)."""
+    reference, representative = F.col("category").startswith("reference"), F.col("category").startswith("representative")
+    king, why = F.substring("div", 1, 4), F.col("excluded")
+    scope = F.col("div").isin("anml:rotifers", "anml:nematodes", "plnt:green algae") | king.isin("fung", "prst") | (king.isin("prok", "arch") & (why == F.array(F.lit("derived from metagenome")))) | ((king == "virs") & (F.size(why) == 0))
+    curated = F.coalesce("curated_id", F.lit("")) != ""
+    rank = lambda high: F.when(reference, high).when(representative, high - 1).otherwise(high - 2)
+    return a.withColumn("weight", F.when(F.col("refuse"), -1).when(F.col("accept"), 10).when(curated, rank(7)).when(scope, rank(4)).when(reference | representative, 1).otherwise(0))
+
+
+def assembly_status(a: DataFrame, large: float = 4.3e9) -> DataFrame:
+    """With the first reason that holds: not in scope, accepted, refused, reference, too large, too fragmented, not screened; else
+    ok. Further columns: ftp_path, weight, len, n50, screened."""
+    king = F.substring("div", 1, 4)
+    whole = (F.col("n50") == F.col("len")) | (F.col("n50") > 20_000) | (((F.coalesce("curated_id", F.lit("")) != "") | (king == "prst")) & (F.col("n50") > 10_000)) | (king == "virs")
+    status = F.when(F.coalesce("ftp_path", F.lit("")) == "", "not-in-scope").when(F.col("accept"), "ok-acceptlist").when(F.col("refuse"), "denylist").when(F.col("category").startswith("reference"), "ok-reference").when((F.col("weight") < 2) | (F.col("div") == "unkn:unknown"), "not-in-scope").when(F.col("len") > large, "too-large").when(~whole, "low-n50").when(~F.col("screened"), "not-prescreened").otherwise("ok")
+    return a.withColumn("status", status)

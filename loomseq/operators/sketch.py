@@ -49,11 +49,11 @@ def similarity(a, b):
     return f - (1 - f) / 64
 
 
-def similar_pairs(sigs: DataFrame, threshold: float = 0.3, band: int = 4) -> DataFrame:
-    """(id_1, id_2, similarity) from pairs that share a band of slots; with bands of four a pair of similarity 0.3 is met with
-    probability 0.87, of 0.4 with 0.998, of 0.5 always but for one in a million."""
+def similar_pairs(sigs: DataFrame, threshold: float = 0.3, band: int = 3) -> DataFrame:
+    """(id_1, id_2, similarity) from pairs that share a band of slots; with bands of three a pair of similarity 0.3 is missed with
+    probability 3e-5, of 0.35 with 8e-8, and one pair in 770 of unlike signatures is looked at."""
     s = sigs.filter("signature is not null")
-    bands = s.select("id", "signature", F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(SLOTS), F.lit(band)), lambda i: F.substring("signature", i, F.lit(band)))).alias("b", "w"))
+    bands = s.select("id", "signature", F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(SLOTS - band + 1), F.lit(band)), lambda i: F.substring("signature", i, F.lit(band)))).alias("b", "w"))
     pairs = bands.select("id", "b", "w").join(bands.select(F.col("id").alias("id_2"), "b", "w"), ["b", "w"]).filter("id < id_2").select("id", "id_2").distinct()
     j = pairs.join(s, "id").join(s.select(F.col("id").alias("id_2"), F.col("signature").alias("sig_2")), "id_2")
     return j.select(F.col("id").alias("id_1"), "id_2", similarity(F.col("signature"), F.col("sig_2")).alias("similarity")).filter(F.col("similarity") >= threshold)

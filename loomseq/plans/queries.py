@@ -11,6 +11,7 @@ from ..adapters import IV, NODES, QRY, SBJ, intervals, nodes, probes, subjects,
 from ..functions import scalars as x
 from ..operators import actions as act
 from ..operators import align, classify, dataflow as df_, hits, intervals as iv, rounds, select, sketch, taxify, words
+from ..sources import sinks
 from ..streaming import events as ev
 
 Q: dict = {}
@@ -291,6 +292,12 @@ query("summary_rollup", f"WITH {ROWS} SELECT coalesce(div, 'TOTAL') AS div, coun
 
 
 CHROWS = "c AS (SELECT seq_id, label, CASE WHEN seq_id % 3 = 0 THEN 'anml:insects' ELSE div END AS div, CASE WHEN label = 'contaminant' AND seq_id % 5 < 4 THEN 'Wolbachia sp.' ELSE 'other' END AS tax_name FROM r WHERE label <> 'grey')"
+HIN = "hs AS (SELECT seq_id, at * 100 AS pos, 100 - CASE WHEN len < 8 THEN 1 ELSE 0 END AS len, CASE WHEN pct > 40 THEN 'primary' WHEN label = 'contaminant' THEN 'contaminant' ELSE 'grey' END AS label, CASE WHEN pct > 40 THEN CASE WHEN seq_id % 2 = 0 THEN 'anml:insects' ELSE 'prok:firmicutes' END WHEN seq_id % 3 = 0 THEN 'virs:prokaryotic viruses' ELSE 'virs:eukaryotic viruses' END AS div, CASE WHEN at = 2 THEN 'Wolbachia' ELSE 'x' END AS tax_name FROM r)"
+query("hosted_integrants", f"""WITH {ROWS}, {HIN}, o AS (SELECT *, lag(label) OVER w AS pl, lag(pos + len) OVER w AS pe, lead(label) OVER w AS nl, lead(pos) OVER w AS np, last_value(CASE WHEN label = 'primary' THEN pos END IGNORE NULLS) OVER (PARTITION BY seq_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lp, first_value(CASE WHEN label = 'primary' THEN pos END IGNORE NULLS) OVER (PARTITION BY seq_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS rp FROM hs WINDOW w AS (PARTITION BY seq_id ORDER BY pos)),
+x AS (SELECT *, label = 'contaminant' AND ((pl = 'primary' AND pe < pos) OR (nl = 'primary' AND pos + len < np)) IS TRUE AS gap FROM o WHERE label <> 'primary' AND lp IS NOT NULL AND rp IS NOT NULL),
+y AS (SELECT *, bool_or(gap) OVER (PARTITION BY seq_id, lp) AS gaps FROM x),
+z AS (SELECT *, bool_and(label = 'grey' OR (tax_name = 'Wolbachia' AND seq_id % 2 = 0) OR (NOT gaps AND (div = 'virs:prokaryotic viruses') = (seq_id % 2 = 1))) OVER (PARTITION BY seq_id, lp) AS ok FROM y)
+SELECT seq_id, pos, len FROM z WHERE ok""")(lambda s, d: act.hosted_integrants(rows(s, d).select("seq_id", (F.col("at") * 100).alias("pos"), (100 - (F.col("len") < 8).cast("int")).alias("len"), F.when(F.col("pct") > 40, "primary").when(F.col("label") == "contaminant", "contaminant").otherwise("grey").alias("label"), F.when(F.col("pct") > 40, F.when(F.col("seq_id") % 2 == 0, "anml:insects").otherwise("prok:firmicutes")).when(F.col("seq_id") % 3 == 0, "virs:prokaryotic viruses").otherwise("virs:eukaryotic viruses").alias("div"), F.when(F.col("at") == 2, "Wolbachia").otherwise("x").alias("tax_name"))).select("seq_id", "pos", "len"))
 query("endosymbiont_chimeras", f"WITH {ROWS}, {CHROWS}, f AS (SELECT seq_id, label = 'contaminant' AND tax_name LIKE 'Wolb%' AS g, label = 'primary' AND div = 'anml:insects' AS h FROM c) SELECT seq_id FROM f GROUP BY seq_id HAVING bool_and(g OR h) AND bool_or(g) AND bool_or(h)")(lambda s, d: act.endosymbiont_chimeras(rows(s, d).filter("label <> 'grey'").select("seq_id", "label", F.when(F.col("seq_id") % 3 == 0, "anml:insects").otherwise(F.col("div")).alias("div"), F.when((F.col("label") == "contaminant") & (F.col("seq_id") % 5 < 4), "Wolbachia sp.").otherwise("other").alias("tax_name")), ["anml:insects", "anml:nematodes"]))
 
 
@@ -346,6 +353,12 @@ query("sync_status", "WITH m AS (SELECT item_id AS path, length(text) AS size, m
     lambda s, d: (lambda b: select.sync_status(b.filter("path % 4 > 0").select("path", "size", "digest"), b.filter("path % 5 > 0").select("path", (F.col("size") + (F.col("path") % 6 == 1).cast("int")).alias("size"), F.when(F.col("path") % 10 == 3, "x").otherwise(F.col("digest")).alias("digest"))))(table(s, d, "benchmark").select(F.col("item_id").alias("path"), F.length("text").alias("size"), F.md5("text").alias("digest"))))
 
 
+ASM = {"accept": "c_custkey % 19 = 3", "refuse": "c_custkey % 17 = 5", "curated_id": "CASE WHEN c_custkey % 3 = 0 THEN 'x' ELSE '' END", "category": "CASE c_mktsegment WHEN 'BUILDING' THEN 'reference genome' WHEN 'MACHINERY' THEN 'representative genome' ELSE 'na' END", "div": "CASE c_nationkey % 4 WHEN 0 THEN 'fung:fungi' WHEN 1 THEN 'virs:viruses' WHEN 2 THEN 'anml:birds' ELSE 'prok:firmicutes' END", "ftp_path": "CASE WHEN c_custkey % 23 = 0 THEN '' ELSE 'p' END", "len": "c_custkey * 20000000", "n50": "c_custkey % 30 * 1000", "screened": "c_custkey % 7 > 0"}
+WEIGHT = "CASE WHEN refuse THEN -1 WHEN accept THEN 10 WHEN curated_id <> '' THEN CASE category WHEN 'reference genome' THEN 7 WHEN 'representative genome' THEN 6 ELSE 5 END WHEN div = 'fung:fungi' OR div = 'virs:viruses' AND c_custkey % 2 = 0 OR div = 'prok:firmicutes' AND c_custkey % 2 = 1 THEN CASE category WHEN 'reference genome' THEN 4 WHEN 'representative genome' THEN 3 ELSE 2 END WHEN category <> 'na' THEN 1 ELSE 0 END"
+query("assembly_status", f"WITH a AS (SELECT c_custkey, {', '.join(f'{v} AS {k}' for k, v in ASM.items())} FROM customer), w AS (SELECT *, {WEIGHT} AS weight FROM a) SELECT c_custkey, weight, CASE WHEN ftp_path = '' THEN 'not-in-scope' WHEN accept THEN 'ok-acceptlist' WHEN refuse THEN 'denylist' WHEN category = 'reference genome' THEN 'ok-reference' WHEN weight < 2 THEN 'not-in-scope' WHEN len > 4300000000 THEN 'too-large' WHEN NOT (n50 = len OR n50 > 20000 OR (curated_id <> '' AND n50 > 10000) OR div LIKE 'virs%') THEN 'low-n50' WHEN NOT screened THEN 'not-prescreened' ELSE 'ok' END AS status FROM w")(lambda s, d: select.assembly_status(select.assembly_weight(cust(s, d).select("c_custkey", *(F.expr(v).alias(k) for k, v in ASM.items())).withColumn("excluded", F.expr("CASE WHEN c_custkey % 2 = 1 THEN array('derived from metagenome') ELSE cast(array() AS array<string>) END")))).select("c_custkey", "weight", "status"))
+query("hit_rows", f"WITH {NSQL.replace('r AS (', 'nr AS (')}, {QRY} SELECT CAST(oid AS VARCHAR) AS q_id, CAST(pos AS INTEGER) AS q_pos, 0 AS tax_id, '_N_run' AS s_id, 1 AS s_pos, CAST(len AS INTEGER) AS len, 0 AS l2, 0 AS mismatches FROM nr UNION ALL SELECT CAST(oid AS VARCHAR), 1, 0, '_self', 1, length(seq), length(seq), length(seq) - length(replace(seq, 'N', '')) FROM t")(lambda s, d: (lambda t, z: sinks.hit_rows(s.createDataFrame([], sinks.HITS), t.select(F.col("oid").cast("string").alias("q_id"), "seq"), words.n_runs(t, 2).select(F.col("oid").cast("string").alias("q_id"), "pos", "len"), z, z))(_ntext(s, d), s.createDataFrame([], "q_id string, pos long, len long")))
+
+
 # ---- flagship -----------------------------------------------------------------------------------------------------------
 FLAG = f"WITH {IDX}, {QW}, {SEG}, pr AS (SELECT q_oid, s_oid, sum(len) AS len, count(*) AS segments FROM seg GROUP BY ALL), c AS (SELECT pr.*, least(1.0, len / length(seq)) AS share FROM pr JOIN qry ON q_oid = qry.oid) SELECT q_oid, s_oid, segments, CAST(len AS BIGINT) AS len, round(share, 4) AS share, CASE WHEN share >= 0.8 THEN 'contained' WHEN share >= 0.3 THEN 'partial' ELSE 'trace' END AS verdict, row_number() OVER (PARTITION BY q_oid ORDER BY len DESC, s_oid) AS rank FROM c QUALIFY rank <= 5"
 
@@ -360,5 +373,5 @@ def flagship(s, d):
     return c.select("q_oid", "s_oid", "segments", "len", F.round("share", 4).alias("share"), verdict.alias("verdict"), F.row_number().over(w).cast("long").alias("rank")).filter("rank <= 5")
 
 
-for _name in ("spans", "low_cov_promote", "review_needs_exclude", "integrants", "seq_stats", "div_stats", "production_limits", "summary_rollup"):
+for _name in ("spans", "low_cov_promote", "review_needs_exclude", "integrants", "seq_stats", "div_stats", "production_limits", "summary_rollup", "hosted_integrants"):
     SQL[_name] = re.sub(r"(?<![\w\"])at\b", '"at"', SQL[_name])  # a word of SQL

@@ -14,11 +14,11 @@ from loomseq.functions import scalars as x
 from loomseq.operators import actions, align, hits, intervals, sketch
 from loomseq.operators.align import maximal_subarrays
 from loomseq.plans.queries import SQL, Q
-from loomseq.sources import files
+from loomseq.sources import files, sinks
 from loomseq.streaming import events
 
 SF = "/root/testdata/sf0.001"
-SOME = ["where", "group_adjacent", "in_groups_of", "sliding_window", "take_while", "zip_with", "foldl", "enumerated", "iv_merge", "iv_invert_whole", "iv_intersect", "iv_subtract", "iv_session", "windows_sliding", "index_keep2", "seed_join_tiered", "seed_coalesce", "split_runs", "hash64", "top2_per_div_top4", "running_div_stats", "chimeric_intervals", "div_report", "spans", "seq_stats", "apply_actions", "summary_rollup", "flagship", "taxon_norms", "candidate_taxa", "neighbourhoods", "second_round", "drop_self", "tag_extrachromosomal", "batches", "repeat_source", "n_counts", "endosymbiont_chimeras", "run_info"]
+SOME = ["where", "group_adjacent", "in_groups_of", "sliding_window", "take_while", "zip_with", "foldl", "enumerated", "iv_merge", "iv_invert_whole", "iv_intersect", "iv_subtract", "iv_session", "windows_sliding", "index_keep2", "seed_join_tiered", "seed_coalesce", "split_runs", "hash64", "top2_per_div_top4", "running_div_stats", "chimeric_intervals", "div_report", "spans", "seq_stats", "apply_actions", "summary_rollup", "flagship", "taxon_norms", "candidate_taxa", "neighbourhoods", "second_round", "drop_self", "tag_extrachromosomal", "batches", "repeat_source", "n_counts", "endosymbiont_chimeras", "run_info", "hosted_integrants", "assembly_status", "hit_rows"]
 
 
 def rows(df: pd.DataFrame):
@@ -195,3 +195,33 @@ def test_running_total_over_stretches(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
     got = {r.id: r.t for r in hits.running_total(df, "id", F.col("v"), "t", width=64).collect()}
     assert got == {i: sum(k % 7 for k in range(i)) for i in range(1000)}
+
+
+def test_similar_pairs_are_all_pairs(spark):
+    rng = random.Random(3)
+    start = [rng.choice(sketch.DIGITS) for _ in range(sketch.SLOTS)]
+    sigs = []
+    for i in range(40):  # each keeps a share of the slots between 0.3 and 1
+        keep = 0.3 + 0.7 * rng.random()
+        sigs.append((i, "".join(c if rng.random() < keep else rng.choice(sketch.DIGITS) for c in start)))
+    df = spark.createDataFrame([*sigs, (99, None)], "id long, signature string")
+    f = lambda a, b: sum(x == y for x, y in zip(a, b, strict=True)) / sketch.SLOTS
+    want = {(i, j) for i, a in sigs for j, b in sigs if i < j and f(a, b) - (1 - f(a, b)) / 64 >= 0.3}
+    assert {(r.id_1, r.id_2) for r in sketch.similar_pairs(df).collect()} == want and want
+
+
+def test_reports_are_read_back(spark, tmp_path):
+    taxa = "array<struct<tax_id:int,div:string,cvg_by_div:int,cvg_by_tax:int,score:int>>"
+    rows_ = [("a~1..9", 100, 1, 2, 3, 4, 5, 60, "Homo", [(9606, "anml:primates", 50, 40, 30), (2, "prok:x", 5, 4, 3)], "primary-div", "anml:primates"), ("b", 7, 0, 0, 0, 0, 0, 0, None, [], "low-coverage", "none")]
+    df = spark.createDataFrame(rows_, f"seq_id string, len long, xp int, lc int, co int, n int, xc int, cvg_by_all long, tax_name string, taxa {taxa}, result string, result_div string")
+    sinks.write_table(sinks.report_columns(df), str(tmp_path / "r"), "report", 3, run="x")
+    assert files.check_metaline(str(tmp_path / "r"), spark, "report", 3)["content"] == {"run": "x"}
+    got = {r.seq_id: r for r in files.read_report(spark, str(tmp_path / "r")).collect()}
+    assert got["a~1..9"].len == 96 and [tuple(t) for t in got["a~1..9"].taxa] == rows_[0][9] and got["b"].taxa == []
+    (c,) = sinks.classified_columns(df).filter("result = 'primary-div'").collect()
+    assert len(c) == 34 and (c.result_div, c.div_pct_cvg) == ("anml:primates", "50")
+    acts = spark.createDataFrame([("s{TILDE}1", 5, 10, 100, "TRIM", "d", 3, "t")], "seq_id string, pos long, len long, seq_len long, action string, div string, agg_cov int, top_tax_name string")
+    sinks.write_table(sinks.action_columns(acts), str(tmp_path / "a"), "actions", 2)
+    assert [tuple(r) for r in files.read_actions(spark, str(tmp_path / "a")).collect()] == [("s~1", 5, 10, "TRIM")]
+    sinks.write_manifest(spark.createDataFrame([("f", 3, "d")], "path string, size long, digest string"), "1").coalesce(1).write.text(str(tmp_path / "m"))
+    assert [tuple(r) for r in files.read_manifest(spark, str(tmp_path / "m")).collect()] == [("f", 3, "d")]
