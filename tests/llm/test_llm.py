@@ -162,6 +162,21 @@ def test_language_model_sums_to_one_and_beats_the_base(spark):
     assert got[True].perplexity < got[True].base_perplexity
 
 
+def test_language_model_splits_the_occurrences_of_a_frequent_word(spark):
+    rows = [(i, " ".join(f"hot w{i * 7 % 101} v{(i + j) % 89}" for j in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ranges, size = 30, sum(len(t.split()) + 1 for _, t in rows)
+    models = language_model._models(docs, ranges, 5, 1, "", 500)
+    shares, most = language_model._shares(models, ranges)
+    got = language_model._entries(docs, ranges, 5, 1, shares, 500).filter("entries is not null").toPandas()
+    got["n"] = [int(np.frombuffer(e, language_model.ENTRY)["n"].sum()) for e in got.entries]
+    assert got.n.sum() == models.toPandas()["size"].sum() == size
+    part = got.groupby(["range", "part"]).n.sum()
+    assert got.groupby("range").n.sum().max() > size / 3 and part.max() < size / 8  # "hot" in one range, but not in one part
+    key = lambda df: sorted((r.doc_id, round(r.score, 6)) for r in df.collect())
+    assert key(language_model.score_corpus(docs, block_tokens=500)) == key(language_model.score_corpus(docs))
+
+
 def jaccard_brute(rows):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     texts = list(dict.fromkeys(t or "" for _, t in rows))
