@@ -195,11 +195,22 @@ def segment_scores(segments: DataFrame, min_identity: int = 40) -> DataFrame:
     return segments.filter(keep).withColumn("l2", F.floor(F.sqrt("run_squares") + 0.5).cast("long"))
 
 
-def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 300) -> DataFrame:
-    """Seeds, occurrence cap, coalescing, neighbours, shadows, extension, chain; a second round of finer seeds around what was
+def query_words(query: DataFrame, index: DataFrame, repeats: DataFrame | None = None) -> DataFrame:
+    """Words of queries without those inside low-complexity and high-occurrence intervals, and inside repeats where sequences to
+    count them in are given."""
+    w = words.spaced_words(query)
+    w = w.withColumn("at", F.when(F.col("pos") < 0, -F.col("pos") - 55).otherwise(F.col("pos")))
+    tracks = [words.low_complexity_mask(query), words.high_occurrence_mask(w, index)]
+    if repeats is not None:
+        tracks.append(words.transposon_mask(query, repeats))
+    return words.masked(w, tracks).drop("at")
+
+
+def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 300, repeats: DataFrame | None = None) -> DataFrame:
+    """Seeds outside masks, occurrence cap, coalescing, neighbours, shadows, extension, chain; a second round of finer seeds around what was
     found; extension with and without gaps, chain, and scores."""
     index = words.build_index(subject, stride=stride)
-    seeds = words.occurrence_cap(words.seed_join(words.spaced_words(query), index))
+    seeds = words.occurrence_cap(words.seed_join(query_words(query, index, repeats), index))
     seg = drop_stacks(drop_shadows(words.near_neighbours(words.coalesce(seeds))))
     taxon = subject.select(F.col("oid").alias("s_oid"), "tax_id")
     by = ["q_oid", "tax_id"]

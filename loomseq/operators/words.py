@@ -139,18 +139,74 @@ def repeat_tracks(words: DataFrame, counts: DataFrame, least: int, template: int
     return intervals.merge(wide, ["oid"], 100).filter("len > 100")
 
 
-def low_complexity(seqs: DataFrame, window: int = 50, bits: float = 4.5) -> DataFrame:
-    """(oid, pos, len): windows of so many hexamers whose entropy stays below bits, merged. Each window is one row here; words of
-    a window are counted with array functions."""
+def _low_windows(seqs: DataFrame, window: int, bits: float) -> DataFrame:
+    """(oid, pos) where so many hexamers begin whose entropy stays below bits. Each window is one row here; words of a window are
+    counted with array functions."""
     n = F.length("seq") - 5
     s = barrier(seqs.select("oid", F.when(n >= window, F.transform(F.sequence(F.lit(1), n), lambda i: F.col("seq").substr(i.cast("int"), F.lit(6)))).alias("six")).filter("six is not null"))
     at = s.select("oid", "six", F.explode(F.sequence(F.lit(1), F.size("six") - (window - 1))).alias("pos"))
     words = at.select("oid", F.col("pos").cast("long").alias("pos"), F.explode(F.slice("six", F.col("pos"), F.lit(window))).alias("w"))
     h = words.groupBy("oid", "pos", "w").agg((F.count("*") / window).alias("p")).groupBy("oid", "pos").agg(F.sum(-F.col("p") * F.log2("p")).alias("h"))
-    low = h.filter(F.col("h") < bits).select("oid", "pos", F.lit(window + 5).cast("long").alias("len"))
+    return h.filter(F.col("h") < bits).select("oid", "pos")
+
+
+def low_complexity(seqs: DataFrame, window: int = 50, bits: float = 4.5) -> DataFrame:
+    """(oid, pos, len): windows of so many hexamers whose entropy stays below bits, merged."""
+    low = _low_windows(seqs, window, bits).select("oid", "pos", F.lit(window + 5).cast("long").alias("len"))
     return intervals.merge(low, ["oid"])
 
 
+def low_complexity_mask(seqs: DataFrame, window: int = 50, bits: float = 4.5, template: int = 56, erode: int = 16) -> DataFrame:
+    """(oid, pos, len) of at least one word more than a template: last bases of the hexamers of such windows, eroded where they do
+    not reach an end of the sequence, and joined within a template's length. Only whole hexamers count."""
+    runs = intervals.merge(_low_windows(seqs, window, bits).select("oid", (F.col("pos") + 5).alias("pos"), F.lit(window).cast("long").alias("len")), ["oid"])
+    runs = runs.join(seqs.select("oid", F.length("seq").alias("_n")), "oid")
+    left = F.when((F.col("pos") > 1) & (F.col("len") > erode), erode).otherwise(0)
+    runs = runs.select("oid", (F.col("pos") + left).alias("pos"), (F.col("len") - left).alias("len"), "_n")
+    right = F.when((F.col("pos") + F.col("len") - 1 < F.col("_n")) & (F.col("len") > erode), erode).otherwise(0)
+    return intervals.merge(runs.select("oid", "pos", (F.col("len") - right).alias("len")), ["oid"], template).filter(F.col("len") > template)
+
+
+def high_occurrence_mask(words: DataFrame, index: DataFrame, window: int = 20, most: int = 10_000, template: int = 56) -> DataFrame:
+    """(oid, pos, len) before places where the postings of the last window words (oid, at, word) add up to more than most."""
+    hits = words.join(index.groupBy("word").agg(F.count("*").alias("n")), "word").select("oid", F.col("at").alias("pos"), "n")
+    w = Window.partitionBy("oid").orderBy("pos").rangeBetween(-(window - 1), 0)
+    hot = hits.withColumn("_s", F.sum("n").over(w)).filter(F.col("_s") > most)
+    pos = F.greatest(F.col("pos") - window - 1, F.lit(1))
+    return intervals.merge(hot.select("oid", pos.alias("pos"), F.lit(template + window).cast("long").alias("len")), ["oid"])
+
+
+def masked(words: DataFrame, tracks: list[DataFrame], template: int = 56, bin_: int = intervals.BIN) -> DataFrame:
+    """Words (oid, at, ...) that lie in no interval (oid, pos, len) of any track; intervals of different tracks do not add up. Both
+    sides meet in bins of a word's first base."""
+    starts = None
+    for t in tracks:  # the first bases of words that are inside
+        x = t.filter(F.col("len") >= template).select("oid", F.col("pos").alias("_a"), (F.col("pos") + F.col("len") - template).alias("_b"))
+        starts = x if starts is None else starts.unionByName(x)
+    starts = starts.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_a") / bin_), F.floor(F.col("_b") / bin_))))
+    w = words.withColumn("_bin", F.floor(F.col("at") / bin_)).alias("w")
+    inside = (F.col("w.oid") == F.col("t.oid")) & (F.col("w._bin") == F.col("t._bin")) & F.col("at").between(F.col("_a"), F.col("_b"))
+    return w.join(starts.alias("t"), inside, "left_anti").drop("_bin")
+
+
+def repeat_basis(seqs: DataFrame, least: int = 1000, long: int = 100_000) -> DataFrame:
+    """Sequences whose words are counted for repeats: long ones, and of the others those that are not among the shortest, which
+    together have less than a fifth of all bases. Sequences of one length stay together if one of them does."""
+    d = seqs.withColumn("_n", F.length("seq").cast("long"))
+    size = d.groupBy("_n").agg(F.sum("_n").alias("_s")).filter(F.col("_n") < long)
+    total = d.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_t"))
+    before = F.coalesce(F.sum("_s").over(Window.orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kept = size.withColumn("_c", before + F.col("_s")).crossJoin(total).filter((F.col("_n") >= least) & (F.col("_c") * 5 >= F.col("_t"))).select("_n")
+    return d.filter(F.col("_n") >= long).unionByName(d.join(kept, "_n", "left_semi")).drop("_n")
+
+
+def transposon_mask(seqs: DataFrame, basis: DataFrame) -> DataFrame:
+    """Runs of words that are frequent in the basis: min(50, 30 times the baseline) times."""
+    counts = word_counts(spaced_words(repeat_basis(basis), 44))
+    baseline = count_baseline(counts).first()[0] or 0.0
+    return repeat_tracks(spaced_words(seqs, 44), counts, min(50, int(30 * baseline)))
+
+
 def n_runs(seqs: DataFrame, least: int = 10) -> DataFrame:
     """(oid, pos, len) of runs of N."""
     parts = F.regexp_extract_all("seq", F.lit("(N+|[^N]+)"), 1)

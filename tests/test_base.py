@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomseq.functions import scalars as x
-from loomseq.operators import actions, align, hits, intervals, sketch
+from loomseq.operators import actions, align, hits, intervals, sketch, words
 from loomseq.operators.align import maximal_subarrays
 from loomseq.plans.queries import SQL, Q
 from loomseq.sources import files, sinks
@@ -225,3 +225,20 @@ def test_reports_are_read_back(spark, tmp_path):
     assert [tuple(r) for r in files.read_actions(spark, str(tmp_path / "a")).collect()] == [("s~1", 5, 10, "TRIM")]
     sinks.write_manifest(spark.createDataFrame([("f", 3, "d")], "path string, size long, digest string"), "1").coalesce(1).write.text(str(tmp_path / "m"))
     assert [tuple(r) for r in files.read_manifest(spark, str(tmp_path / "m")).collect()] == [("f", 3, "d")]
+
+
+def test_seeds_are_not_made_in_masked_intervals(spark):
+    r = random.Random(3)
+    a, b, c = ("".join(r.choice("ACGT") for _ in range(n)) for n in (300, 300, 90))
+    q = spark.createDataFrame([(1, a + "AC" * 150 + b), (2, a)], "oid long, seq string")
+    index = spark.createDataFrame([("x", 1)], "word string, oid long")
+    got = {(w.oid, w.pos if w.pos > 0 else -w.pos - 55) for w in align.query_words(q, index).collect()}
+    assert {p for o, p in got if o == 2} == set(range(1, 246))
+    assert not {p for o, p in got if o == 1} & set(range(340, 500)) and {(1, p) for p in [*range(1, 245), *range(602, 846)]} <= got
+    hot = words.spaced_words(q).filter("oid = 2 and abs(pos) between 60 and 260").select("word", F.explode(F.sequence(F.lit(1), F.lit(600))).alias("oid"))
+    left = {w.pos for w in align.query_words(q.filter("oid = 2"), hot).collect()}
+    assert 0 < len(left) < 200
+    basis = spark.createDataFrame([(k, "".join(r.choice("ACGT") for _ in range(2000)) + c) for k in range(60)], "oid long, seq string")
+    rep = spark.createDataFrame([(9, a + c + c + b)], "oid long, seq string")
+    away = {w.pos if w.pos > 0 else -w.pos - 55 for w in align.query_words(rep, index, basis).collect()}
+    assert set(range(1, 230)) <= away and not away & set(range(305, 325))
