@@ -106,6 +106,7 @@ query("iv_subtract", f"""{AB}, bi AS (SELECT a.seq_id, a.pos AS ap, a.pos + a.le
 g AS (SELECT seq_id, be AS pos, coalesce(lead(bp) OVER (PARTITION BY seq_id, ap ORDER BY bp), ae) AS e FROM bi UNION ALL SELECT seq_id, ap, min(bp) FROM bi GROUP BY seq_id, ap UNION ALL SELECT seq_id, pos, pos + len FROM a WHERE NOT EXISTS (SELECT 1 FROM bi WHERE bi.seq_id = a.seq_id AND bi.ap = a.pos))
 SELECT seq_id, pos, e - pos AS len FROM g WHERE e > pos""")(lambda s, d: iv.subtract(*two(s, d), S))
 query("iv_overlap_join", f"WITH {IV} SELECT x.seq_id, x.id AS id, y.id AS b_id FROM iv x JOIN iv y ON x.seq_id = y.seq_id AND x.id % 7 = 0 AND y.id % 7 = 1 AND x.pos < y.pos + y.len AND y.pos < x.pos + x.len")(lambda s, d: (lambda i: iv.overlap_join(i.filter("id % 7 = 0"), i.filter("id % 7 = 1"), S).select("seq_id", "id", "b_id"))(intervals(s, d)))
+query("iv_overlap_join_whole", f"WITH {IV}, {merged('iv', 'seq_id, div')} SELECT x.seq_id, x.id, m.div AS b_div, m.pos AS b_pos FROM iv x JOIN m ON x.seq_id = m.seq_id AND x.len > 0 AND x.pos < m.pos + m.len AND m.pos < x.pos + x.len")(lambda s, d: (lambda i: iv.overlap_join(i, iv.merge(i, ["seq_id", "div"]), S).select("seq_id", "id", "b_div", "b_pos"))(intervals(s, d)))
 query("iv_exclude_third", f"WITH {IV} SELECT id, seq_id, pos, len FROM iv x WHERE id % 5 > 0 AND NOT EXISTS (SELECT 1 FROM iv y WHERE y.id % 5 = 0 AND x.seq_id = y.seq_id AND 3 * (least(x.pos + x.len, y.pos + y.len) - greatest(x.pos, y.pos)) > x.len)")(lambda s, d: (lambda i: iv.exclude_overlapping(i.filter("id % 5 > 0"), i.filter("id % 5 = 0"), S, "id").select("id", "seq_id", "pos", "len"))(intervals(s, d)))
 query("iv_coverage_by_div", f"WITH {IV}, {merged('iv', 'seq_id, div')} SELECT seq_id, div, CAST(sum(len) AS BIGINT) AS covered FROM m GROUP BY ALL")(lambda s, d: iv.coverage(intervals(s, d), ["seq_id", "div"]))
 query("iv_bins_multi_div", f"WITH {IV}, e AS (SELECT seq_id, div, unnest(range(pos // 20, (pos + len - 1) // 20 + 1)) AS bin FROM iv) SELECT seq_id, bin, count(DISTINCT div) AS labels FROM e GROUP BY ALL HAVING labels >= 3")(lambda s, d: iv.crowded_bins(intervals(s, d), S, "div", 20, 3))
