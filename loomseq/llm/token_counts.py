@@ -14,15 +14,10 @@ from __future__ import annotations
 import base64
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from .common import Memo, cache, rows_of
-
-#: The public pre-tokenisation pattern (fixed value).
-WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LONG = 1 << 20
-
+from .pretokens import WORD, words  # noqa: F401
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     import public_tokenizers
@@ -83,22 +78,14 @@ class LongestMatch:
         return n
 
 
-def _counter(path: str):
+def _counter(path: str) -> Memo:
     automaton = LongestMatch(read_vocabulary(path))
-    return regex.compile(WORD), Memo(lambda w: automaton.count(w.encode()))
+    return Memo(lambda w: automaton.count(w.encode()))
 
 
-def count_text(text: str | None, find, memo) -> tuple[int, int]:
-    if not text:
-        return 0, 0
-    if len(text) < LONG:
-        words = find.findall(text)
-        return len(words), sum(map(memo.__getitem__, words))
-    n = tokens = 0
-    for m in find.finditer(text):
-        n += 1
-        tokens += memo[m[0]]
-    return n, tokens
+def count_text(text: str | None, memo) -> tuple[int, int]:
+    found = words(text) if text else ()
+    return len(found), sum(map(memo.__getitem__, found))
 
 
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -106,9 +93,9 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary_path()
 
     def count(batches):
-        find, memo = cache(f"longest:{path}", lambda: _counter(path))
+        memo = cache(f"longest:{path}", lambda: _counter(path))
         for b in rows_of(batches):
-            got = [count_text(t, find, memo) for t in b.column(1).to_pylist()]
+            got = [count_text(t, memo) for t in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64())], names=["doc_id", "n_words", "n_tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n_words long, n_tokens long")
