@@ -6,14 +6,18 @@ task by a suffix array of that task's shard; what makes equal strings meet in a
 than once are looked at, and of runs with equal bytes (copies) one goes on with their count. Shards of such runs get a suffix
 array by induced sorting and permuted common prefixes; a string is repeated when it shares ``length`` bytes with a neighbour.
 
+A string reaches 232 bytes (half of length and anchor together) from its anchor to the left or to the right. So of runs in which
+the anchor stands once, only those go on that share the hash of these bytes on one side with another run of the anchor; any
+run goes on whose anchor stands several times in some run.
+
 An anchor with many different runs (a passage inside many texts) is dealt into sub-shards of at most HOT runs. Strings that
 are alone in their sub-shard are then checked against the other sub-shards: each sub-shard names its distinct strings by hash,
 in blocks dealt by hash, and gets back those that another one has too. No anchor, text or copy group meets in one task.
 
 Defined results: null text counts as empty; texts shorter than ``length`` lose nothing; strings are judged on the input, and
 occurrences may overlap or lie in one text; rows with equal text are occurrences of their own (all their bytes go from
-``length`` bytes on); extra columns are untouched; an empty table gives an empty result. Texts, runs and anchors are told
-apart by 64-bit hashes (a run by two).
+``length`` bytes on); extra columns are untouched; an empty table gives an empty result. Texts and runs are told apart by
+two 64-bit hashes each.
 """
 
 from __future__ import annotations
@@ -25,13 +29,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import groups, rows_of, written
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 400, 64
 SEGMENT = 2 << 20
-HOT, SHARD_BYTES = 256, 1 << 20
+HOT, SHARD_BYTES, TASK_BYTES = 256, 1 << 20, 3 << 20
 MULT = 0x9E3779B97F4A7C15
 
 
@@ -66,9 +71,14 @@ def sliding_least(h: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(have[: len(have) - rest], have[rest:]) if rest else have
 
 
-def runs(b: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first start, number of starts, whether the anchor occurs more than once) of runs of neighbouring strings with
-    one anchor."""
+def reach(length: int, gram: int = GRAM) -> int:
+    """Bytes that every string has on the left (with the anchor) or on the right of its anchor."""
+    return (length + gram) // 2
+
+
+def runs(b: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(anchor, first start, number of starts, whether the anchor stands more than once in it, place of the anchor or -1) of runs of
+    neighbouring strings with one anchor."""
     most = length - gram + 1
     h = rolling(b, gram)
     least = sliding_least(h, most)
@@ -79,47 +89,56 @@ def runs(b: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
     place = np.flatnonzero(h == ~sliding_least(~np.concatenate([edge, least, edge]), most))
     low = np.searchsorted(first, np.maximum(place - most + 1, 0), side="right") - 1
     high = np.searchsorted(first, np.minimum(place, len(least) - 1), side="right") - 1
-    times = np.zeros(len(first), np.int64)
+    times, stands = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
     for d in range(int((high - low).max()) + 1):
         r = np.minimum(low + d, len(first) - 1)
-        np.add.at(times, r[(low + d <= high) & (h[place] == least[first[r]])], 1)
+        here = (low + d <= high) & (h[place] == least[first[r]])
+        np.add.at(times, r[here], 1)
+        stands[r[here]] = place[here]
     again = times > 1
+    stands[again] = -1
     if (n > most).any():  # only where the text repeats itself
         part = -(-n // most)
         up = np.repeat(np.arange(len(n)), part)
         k = np.arange(len(up)) - np.repeat(np.cumsum(part) - part, part)
-        first, n, again = first[up] + k * most, np.minimum(most, n[up] - k * most), again[up]
-    return least[first].view(np.int64), first, n, again
+        first, n, again, stands = first[up] + k * most, np.minimum(most, n[up] - k * most), again[up], stands[up]
+    return least[first].view(np.int64), first, n, again, stands
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.xxhash64(text).alias("k"), F.xxhash64(F.lit(1), text).alias("k2"), "doc_id", "text")
 
 
 def _runs_of(docs: DataFrame, length: int) -> DataFrame:
+    wide = reach(length)
+
     def find(batches):
         for b in rows_of(batches, SEGMENT):
-            out: list[list] = [[] for _ in range(7)]
-            for k, d, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            row, out = [], [[] for _ in range(7)]
+            for i, t in enumerate(b.column(3).to_pylist()):
                 raw = t.encode() if t else b""
                 for base in range(0, max(1, len(raw) - length + 1), SEGMENT):
                     part = raw[base : base + SEGMENT + length - 1]
                     if len(part) < length:
                         continue
-                    anchor, first, n, again = runs(np.frombuffer(part, np.uint8), length)
-                    view = memoryview(part)
-                    out[0].append(np.full(len(n), k))
-                    out[1] += [d] * len(n)
-                    out[2].append(anchor)
-                    out[3].append(np.array([xxhash.xxh3_64_intdigest(view[i : i + m + length - 1]) for i, m in zip(first.tolist(), n.tolist(), strict=True)], np.uint64).view(np.int64))
-                    out[4].append(first + base)
-                    out[5].append(n)
-                    out[6].append(again)
-            if out[0]:
-                cat = [np.concatenate(out[i]) for i in (0, 2, 3, 4, 5, 6)]
-                yield pa.record_batch([pa.array(cat[0]), pa.array(out[1], pa.int64()), *(pa.array(x) for x in cat[1:])], names=["k", "doc_id", "anchor", "run", "lo", "n", "again"])
-
-    return keyed(docs).mapInArrow(find, "k long, doc_id long, anchor long, run long, lo long, n long, again boolean")
+                    x = np.frombuffer(part, np.uint8)
+                    anchor, first, n, again, place = runs(x, length)
+                    far, view = rolling(x, wide).view(np.int64), memoryview(part)
+                    row.append(np.full(len(n), i))
+                    hashes = [xxhash.xxh3_64_intdigest(view[i : i + m + length - 1]) for i, m in zip(first.tolist(), n.tolist(), strict=True)]
+                    left = place + GRAM - wide
+                    for k, v in enumerate((anchor, np.array(hashes, np.uint64).view(np.int64), first + base, n, again)):
+                        out[k].append(v)
+                    for k, at, ok in ((5, left, (left >= 0) & (place >= 0)), (6, place, (place >= 0) & (place < len(far)))):
+                        out[k].append(np.where(ok, far[np.where(ok, at, 0)], 0))
+            if row:
+                cols = [pa.array(np.concatenate(v)) for v in out]
+                at = pa.array(np.concatenate(row))
+                yield pa.record_batch([*(b.column(c).take(at) for c in range(3)), *cols], names=["k", "k2", "doc_id", "anchor", "run", "lo", "n", "again", "left", "right"])
+
+    # 0 stands for no such bytes; a real hash of 0 would only add a run that need not be looked at
+    return keyed(docs).mapInArrow(find, "k long, k2 long, doc_id long, anchor long, run long, lo long, n long, again boolean, left long, right long")
 
 
 def repeated_starts(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
@@ -144,7 +163,7 @@ def pairs(mark: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def _suffix_marks(contexts: DataFrame, length: int) -> DataFrame:
+def _suffix_marks(contexts: DataFrame, length: int, tasks: int) -> DataFrame:
     """(anchor, run, marks, sub, range, hashes): marks of runs that occur once; of split anchors also the blocks of hashes."""
     schema = "anchor long, run long, marks array<int>, sub int, range int, hashes binary"
 
@@ -181,7 +200,7 @@ def _suffix_marks(contexts: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush()
 
-    return contexts.select("anchor", "sub", "run", "c", "bytes", "subs").repartition("anchor", "sub").sortWithinPartitions("anchor", "sub").mapInArrow(solve, schema)
+    return contexts.select("anchor", "sub", "run", "c", "bytes", "subs").repartition(tasks, "anchor", "sub").sortWithinPartitions("anchor", "sub").mapInArrow(solve, schema)
 
 
 def _cross_marks(contexts: DataFrame, solved: DataFrame, length: int) -> DataFrame:
@@ -218,18 +237,31 @@ def _cross_marks(contexts: DataFrame, solved: DataFrame, length: int) -> DataFra
     return both.repartition("anchor", "sub").sortWithinPartitions("anchor", "sub").mapInArrow(mark, "anchor long, run long, marks array<int>")
 
 
+def _asked(classes: DataFrame) -> DataFrame:
+    """(anchor, run, c, k, subs) of the runs whose bytes are needed; subs: sub-shards of their anchor."""
+    several = classes.filter("several")
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("key")), F.struct(F.lit(1).alias("side"), F.col("right").alias("key")))
+    keys = several.filter("not again").select("anchor", "run", F.explode(sides).alias("at")).select("anchor", "run", "at.side", "at.key").filter("key <> 0")
+    shared = keys.groupBy("anchor", "side", "key").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    chosen = keys.join(shared, ["anchor", "side", "key"], "left_semi").select("anchor", "run").unionAll(several.filter("again").select("anchor", "run")).distinct()
+    asked = several.select("anchor", "run", "c", "k").join(chosen, ["anchor", "run"])
+    # an anchor all of whose runs have copies needs no suffix array: all their strings are repeated
+    subs = asked.groupBy("anchor").agg(F.ceil(F.count("*") / HOT).cast("int").alias("subs"), F.min("c").alias("least")).filter("least = 1").drop("least")
+    return asked.join(subs, "anchor")
+
+
 def spans(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
-    """(k, spans): of each text with repeated strings, runs of their starts as array<struct<a, b>>, b exclusive."""
-    found = written(_runs_of(docs, length).groupBy("k", "anchor", "run", "lo", "n").agg(F.count("*").alias("rows"), F.min("doc_id").alias("rep"), F.max("again").alias("again")), "runs", tag)
+    """(k, k2, spans): of each text with repeated strings, runs of their starts as array<struct<a, b>>, b exclusive."""
+    found = _runs_of(docs, length).groupBy("k", "k2", "anchor", "run", "lo", "n").agg(F.count("*").alias("rows"), F.min("doc_id").alias("rep"), F.max("again").alias("again"), F.min("left").alias("left"), F.min("right").alias("right"))
+    found = written(found, "runs", tag)
     often = found.groupBy("anchor").agg(F.sum("rows").alias("total"), F.min("run").alias("x"), F.max("run").alias("y"), F.max("again").alias("again")).filter("total > 1 or again")
-    live = written(found.drop("again").join(often.select("anchor", ((F.col("x") < F.col("y")) | F.col("again")).alias("several")), "anchor"), "live", tag)
-    classes = written(live.groupBy("anchor", "run").agg(F.sum("rows").alias("c"), F.min("k").alias("k"), F.max("several").alias("several")), "classes", tag)
-    # an anchor all of whose runs have copies needs no suffix array: all their strings are repeated
-    subs = classes.filter("several").groupBy("anchor").agg(F.ceil(F.count("*") / HOT).cast("int").alias("subs"), F.min("c").alias("least")).filter("least = 1").drop("least")
-    asked = live.filter("several").join(classes.filter("several").select("anchor", "run", "c", "k"), ["anchor", "run", "k"]).join(subs, "anchor")
-    asked = asked.select("k", "rep", F.struct("anchor", "run", "lo", "n", "c", "subs", F.pmod(F.xxhash64("run"), F.col("subs")).cast("int").alias("sub")).alias("ask"))
-    asked = asked.groupBy("k", "rep").agg(F.collect_list("ask").alias("asks"))
-    at = keyed(docs).alias("d").join(asked.alias("q"), (F.col("d.k") == F.col("q.k")) & F.col("d.doc_id").eqNullSafe(F.col("q.rep"))).select("text", "asks")
+    live = written(found.drop("again").join(often.select("anchor", "again", ((F.col("x") < F.col("y")) | F.col("again")).alias("several")), "anchor"), "live", tag)
+    classes = written(live.groupBy("anchor", "run").agg(F.sum("rows").alias("c"), F.min("k").alias("k"), F.max("several").alias("several"), F.max("again").alias("again"), F.min("left").alias("left"), F.min("right").alias("right")), "classes", tag)
+    asked = live.filter("several").select("k", "k2", "rep", "anchor", "run", "lo", "n").join(_asked(classes), ["anchor", "run", "k"])
+    asked = asked.select("k", "k2", "rep", F.struct("anchor", "run", "lo", "n", "c", "subs", F.pmod(F.xxhash64("run"), F.col("subs")).cast("int").alias("sub")).alias("ask"))
+    asked = asked.groupBy("k", "k2", "rep").agg(F.collect_list("ask").alias("asks"))
+    same = (F.col("d.k") == F.col("q.k")) & (F.col("d.k2") == F.col("q.k2")) & F.col("d.doc_id").eqNullSafe(F.col("q.rep"))
+    at = keyed(docs).alias("d").join(asked.alias("q"), same).select("text", "asks")
 
     def cut(batches):
         names = ("anchor", "sub", "run", "c", "subs")
@@ -242,17 +274,18 @@ def spans(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
             yield pa.record_batch([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)], names=[*names, "bytes"])
 
     contexts = written(at.mapInArrow(cut, "anchor long, sub int, run long, c long, subs int, bytes binary"), "contexts", tag)
-    solved = written(_suffix_marks(contexts, length), "solved", tag)
+    size = contexts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    solved = written(_suffix_marks(contexts, length, max(1, -(-size // TASK_BYTES))), "solved", tag)
     marks = solved.filter("marks is not null").select("anchor", "run", "marks")
     if contexts.filter("subs > 1").limit(1).count():
         marks = marks.unionByName(_cross_marks(contexts, solved, length))
     pair = F.transform(F.sequence(F.lit(0), (F.size("marks") / 2 - 1).cast("int")), lambda i: F.struct(F.element_at("marks", i * 2 + 1).cast("long").alias("a"), F.element_at("marks", i * 2 + 2).cast("long").alias("b")))
     marks = marks.groupBy("anchor", "run").agg(F.flatten(F.collect_list(pair)).alias("p"))
     whole = F.when(F.col("c") > 1, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))))
-    rows = live.select("k", "anchor", "run", "lo", "n").join(classes.select("anchor", "run", "c"), ["anchor", "run"]).join(marks, ["anchor", "run"], "left")
-    rows = rows.select("k", "lo", F.coalesce(whole, "p").alias("p")).filter("p is not null")
-    rows = rows.select("k", F.transform("p", lambda x: F.struct((x["a"] + F.col("lo")).alias("a"), (x["b"] + F.col("lo")).alias("b"))).alias("p"))
-    return rows.groupBy("k").agg(F.flatten(F.collect_list("p")).alias("spans"))
+    rows = live.select("k", "k2", "anchor", "run", "lo", "n").join(classes.select("anchor", "run", "c"), ["anchor", "run"]).join(marks, ["anchor", "run"], "left")
+    rows = rows.select("k", "k2", "lo", F.coalesce(whole, "p").alias("p")).filter("p is not null")
+    rows = rows.select("k", "k2", F.transform("p", lambda x: F.struct((x["a"] + F.col("lo")).alias("a"), (x["b"] + F.col("lo")).alias("b"))).alias("p"))
+    return rows.groupBy("k", "k2").agg(F.flatten(F.collect_list("p")).alias("spans"))
 
 
 def cover(n: int, found: list | None, length: int) -> list[tuple[int, int]]:
@@ -268,9 +301,10 @@ def cover(n: int, found: list | None, length: int) -> list[tuple[int, int]]:
 
 
 def _with_spans(docs: DataFrame, length: int, tag: str) -> DataFrame:
-    at = docs.withColumn("_k", F.xxhash64(F.coalesce("text", F.lit(""))))
-    got = written(spans(docs, length, tag), "spans", tag).select(F.col("k").alias("_k"), F.col("spans").alias("_spans"))
-    return at.join(got, "_k", "left").drop("_k")
+    """(row: all columns of docs, text, spans)"""
+    text = F.coalesce("text", F.lit(""))
+    at = docs.select(F.struct(*docs.columns).alias("row"), "text", F.xxhash64(text).alias("k"), F.xxhash64(F.lit(1), text).alias("k2"))
+    return at.join(written(spans(docs.select("doc_id", "text"), length, tag), "spans", tag), ["k", "k2"], "left").select("row", "text", "spans")
 
 
 def _kept(raw: bytes, gone: list[tuple[int, int]]) -> bytes:
@@ -282,7 +316,8 @@ def _kept(raw: bytes, gone: list[tuple[int, int]]) -> bytes:
 
 
 def passage_digest(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, text) of every row; text is what stays, without characters of which only a
+    part stays."""
 
     def run(batches):
         for b in rows_of(batches):
@@ -290,27 +325,27 @@ def passage_digest(docs: DataFrame, length: int = LENGTH, tag: str = "") -> Data
             for d, t, s in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 raw = t.encode() if t else b""
                 gone = cover(len(raw), s, length)
-                out.append((d, len(raw), sum(y - x for x, y in gone), len(gone), hashlib.sha256(_kept(raw, gone)).hexdigest()))
-            kinds = (pa.int64(),) * 4 + (pa.string(),)
-            yield pa.record_batch([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                kept = _kept(raw, gone)
+                out.append((d, len(raw), sum(y - x for x, y in gone), len(gone), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+            kinds = (pa.int64(),) * 4 + (pa.string(),) * 2
+            yield pa.record_batch([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
-    rows = _with_spans(docs.select("doc_id", "text"), length, tag).select("doc_id", "text", "_spans")
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = _with_spans(docs.select("doc_id", "text"), length, tag).select("row.doc_id", "text", "spans")
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def remove_passages(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
-    """docs without the repeated bytes; characters of which only a part is left go as well."""
+    """docs without the repeated bytes; characters of which only a part is left go as well. A null text stays null; columns of
+    any names and kinds stay as they are."""
     columns = docs.columns
-    rows = _with_spans(docs, length, tag)
-    at = rows.columns.index("text")
 
     def run(batches):
         for b in rows_of(batches):
             text = []
-            for t, s in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+            for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 text.append(_kept(raw := t.encode(), cover(len(raw), s, length)).decode("utf-8", "ignore") if t and s else t)
-            cols = [pa.array(text, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=["row", "kept"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_spans")
-    return rows.mapInArrow(run, schema).select(*columns)
+    rows = _with_spans(docs, length, tag)
+    got = rows.mapInArrow(run, StructType([StructField("row", rows.schema["row"].dataType), StructField("kept", StringType())]))
+    return got.select(*((F.col("kept") if c == "text" else F.col("row")[c]).alias(c) for c in columns))
