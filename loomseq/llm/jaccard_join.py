@@ -94,8 +94,8 @@ def _memo():
     return cache("shingle words", lambda: Memo(lambda w: xxhash.xxh3_64_intdigest(w)))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "doc_id", "text")
+def keyed(docs: DataFrame, *more) -> DataFrame:
+    return docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "doc_id", *(more or ("text",)))
 
 
 def signatures(docs: DataFrame, tag: str) -> DataFrame:
@@ -242,6 +242,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, tag: str = "") -> DataFrame:
     """The rows of docs that stand for their class; with one row for each doc_id and text, one row for each class."""
-    gone = near_classes(docs, tag=tag).filter(~(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("k") == F.col("class_k")))).select(F.col("k").alias("_k"), F.col("doc_id").alias("_d")).distinct()
-    at = docs.withColumn("_k", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return at.join(gone, (at["_k"] == gone["_k"]) & at["doc_id"].eqNullSafe(gone["_d"]), "left_anti").drop("_k")
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("k") == F.col("class_k"))
+    gone = near_classes(docs, tag=tag).filter(~stays).select("k", "doc_id").distinct().alias("gone")
+    at = keyed(docs, F.struct(*docs.columns).alias("row")).alias("at")
+    same = (F.col("at.k") == F.col("gone.k")) & F.col("at.doc_id").eqNullSafe(F.col("gone.doc_id"))
+    return at.join(gone, same, "left_anti").select("row.*")

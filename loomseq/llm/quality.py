@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import Memo, cache, rows_of
 
@@ -178,26 +179,33 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_r
     return fit_columns([np.frombuffer(x, np.int32) for _, x in got], np.array([ids[i] for i, _ in got]), bits)
 
 
-def score(docs: DataFrame, model: dict, mod: int = 5, rest: int = 0) -> DataFrame:
-    """All columns of docs with held_out, score and predicted (names that docs already has are replaced)."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+def _scored(docs: DataFrame, model: dict) -> DataFrame:
+    """(row: all columns of docs, score)"""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     name = f"quality:{zlib.crc32(model['weights'].tobytes())}:{model['bias']}"
-    docs = docs.drop("held_out", "score", "predicted")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    at = docs.columns.index("text")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
 
     def run(batches):
         m = sent.value
         feats = cache(f"features:{m['bits']}", lambda: Features(m["bits"]))
         w = cache(name, lambda: m["weights"])
         for b in rows_of(batches):
-            out = [_margin(feats(t), w, m["bias"]) for t in b.column(at).to_pylist()]
+            out = [_margin(feats(t), w, m["bias"]) for t in b.column(1).to_pylist()]
             p = 1 / (1 + np.exp(-np.clip(m["slope"] * np.array(out) + m["offset"], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], names=[*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p, pa.float64())], names=["row", "score"])
+
+    return rows.mapInArrow(run, StructType([StructField("row", rows.schema["row"].dataType), StructField("score", DoubleType())]))
+
+
+def score(docs: DataFrame, model: dict, mod: int = 5, rest: int = 0) -> DataFrame:
+    """All columns of docs with held_out, score and predicted (names that docs already has are replaced)."""
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
+    return _scored(docs, model).select(*own, held_out(F.col("row")["doc_id"], mod, rest).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
 
-    got = docs.mapInArrow(run, schema + ", score double")
-    return got.withColumn("held_out", held_out(F.col("doc_id"), mod, rest)).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+def accepted(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of docs that the model predicts as 1; columns of any names stay as they are."""
+    return _scored(docs, model).filter(F.col("score") >= THRESHOLD).select("row.*")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
