@@ -12,13 +12,15 @@ from loomseq.llm import exact_dedup, jaccard_join, packing, passage_dedup, quali
 from loomseq.llm.common import release, table, work_dir
 
 TAG = "pipeline"
+#: Shortest passage, in bytes, that goes when it repeats: about 40 words, so that passages of 50 short words are among them.
+PASSAGE = 256
 
 
 def quality_stage(spark, docs, sf_dir):
     """Documents that the classifier accepts. It learns from the labelled rows of docs."""
     release(spark, TAG)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).filter("predicted = 1").select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def exact_stage(spark, docs, sf_dir):
@@ -34,9 +36,9 @@ def near_stage(spark, docs, sf_dir):
 
 
 def passage_stage(spark, docs, sf_dir):
-    """Documents without passages that repeat."""
+    """Documents without passages of PASSAGE bytes or more that repeat."""
     release(spark, TAG)
-    return passage_dedup.remove_passages(docs, tag=TAG)
+    return passage_dedup.remove_passages(docs, PASSAGE, TAG)
 
 
 def packing_stage(spark, docs, sf_dir):
