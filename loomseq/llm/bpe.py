@@ -28,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cache, rows_of, work_dir
+from .common import cache, rows_of, work_dir, written
 from .pretokens import words
 from .token_counts import vocabulary_path
 
@@ -308,7 +308,7 @@ class Codec:
 
 
 def frequent_words(docs: DataFrame, max_words: int = 50_000, min_count: int = 8, held: int = 400_000) -> list[str]:
-    """At most max_words words that occur min_count times or more in all documents, most frequent first; a bounded list for
+    """Up to max_words words that occur min_count times or more in all documents, most frequent first; a bounded list for
     the driver. A task sends its counts on, all of them, whenever it holds more than so many words."""
 
     def count(batches):
@@ -327,9 +327,19 @@ def frequent_words(docs: DataFrame, max_words: int = 50_000, min_count: int = 8,
                 yield flush()
         yield flush()
 
-    top = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = top.filter(F.col("n") >= min_count).orderBy(F.desc("n"), "word").limit(max_words)
-    return [r.word for r in top.select("word").collect()]
+    sums = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    sums = written(sums, "words")
+    # the least count that leaves at most max_words, from a histogram of eighths of powers of two: no part sends its own longest list
+    step = F.floor(F.log2("n") * 8).cast("int")
+    total, least = 0, None
+    for r in sorted(sums.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), key=lambda r: -r["step"]):
+        total += r["words"]
+        if total > max_words:
+            break
+        least = r["step"]
+    if least is None:
+        return []
+    return [r.word for r in sums.filter(step >= least).orderBy(F.desc("n"), "word").select("word").collect()]
 
 
 def build_lexicon(docs: DataFrame, path: str, max_words: int = 50_000, min_count: int = 8) -> bytes:
@@ -372,7 +382,7 @@ def _coded(docs, path, lexicon, digest, columns) -> DataFrame:
 
     def encode(batches):
         codec = cache(f"bpe:{path}:{file}", lambda: Codec(path, mapped(file)))
-        for b in rows_of(batches):
+        for b in rows_of(batches, 4 << 20):
             ids, sizes = codec.encode(b.column(1).to_pylist())
             raw, at = ids.astype("<u4").tobytes(), (4 * np.concatenate([[0], np.cumsum(sizes)])).tolist()
             out = digest([raw[x:y] for x, y in zip(at, at[1:], strict=False)], codec.decode(ids, sizes))
