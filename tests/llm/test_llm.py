@@ -2,6 +2,8 @@
 force; on empty tables; and the pipeline."""
 
 import hashlib
+import random
+import re
 import zlib
 from collections import Counter
 from math import log10
@@ -129,6 +131,50 @@ def test_html_without_article_and_with_hidden_inline_text():
     assert html_text.main_text(page, tree) == "Title of it A first paragraph with a link and some more than ten words inside. End word."
 
 
+def say(n, w="t"):
+    return " ".join(f"{w}{i}" for i in range(n))
+
+
+def test_html_hints_do_not_decide_alone():
+    tree = html_text.grow(*html_text.labelled())
+    assert {html_text.FEATURES[f] for f in splits(tree)} >= {"words", "links", "links_before", "group_words"}
+    article = "<body><article><h1>T</h1><p>%s</p>%s<p>%s</p></article>"
+    for kept in (f"<div class='related-work'><h2>Related work</h2><p>{say(60)}</p></div>", f"<section id='search-methods'><p>{say(50)}</p><p>{say(30)}</p></section>"):
+        page = article % (say(40), kept, say(30))
+        assert html_text.main_text(page, tree) == " ".join(re.sub("<[^>]*>", " ", page).split())
+    for gone in (f"<div class='user-responses'><p>{say(50, 'x')}</p></div>", f"<div class='related'><ul><li><a>{say(7, 'x')}</a><li><a>{say(6, 'x')}</a></ul></div>", f"<div><h3>3 Comments</h3><p>{say(45, 'x')}</p></div>", f"<div class='ad'>{say(12, 'x')}</div>"):
+        assert html_text.main_text(article % (say(40), gone, say(30)), tree) == f"T {say(40)} {say(30)}"
+    page = f"<body><div><a>x</a> <a>x x</a></div><div><h1>Head line</h1><p>{say(30)}</p><table><tr><td>a b<td>c<tr><td>d</table><pre>x = 1\n  y</pre><p>{say(40)}</p></div><div>Made by us</div>"
+    assert html_text.main_text(page, tree) == f"Head line {say(30)} a b c d x = 1 y {say(40)}"
+    page = f"<body><div class='x'><h1>Head line</h1><p>{say(80)}</p><div class='comments'><p>{say(40, 'x')}</p></div></div><div class='sidebar'><p>{say(30, 'x')}</p></div>"
+    assert html_text.main_text(page, tree) == f"Head line {say(80)}"
+
+
+def splits(tree):
+    return set() if isinstance(tree, int) else {tree[0]} | splits(tree[2]) | splits(tree[3])
+
+
+@pytest.mark.parametrize("kind", ["article", "main", "div"])
+def test_html_random_pages(kind):
+    tree, r = html_text.grow(*html_text.labelled()), random.Random(4)
+    noise = [f"<div class=ad>{say(9, 'x')}</div>", f"<aside>{say(30, 'x')}</aside>", f"<div class='cookie-notice'>{say(40, 'x')}</div>", "<nav><a>x x</a></nav>", f"<footer>{say(12, 'x')}</footer>", f"<form><p>{say(6, 'x')}</p></form>", f"<div class=comments><p>{say(44, 'x')}</p><p>{say(4, 'x')}</p></div>", f"<div><h3>Comments</h3><p>{say(40, 'x')}</p></div>"]
+    exact = n = 0
+    for _ in range(400):
+        parts = []
+        for _ in range(r.randrange(1, 9)):
+            size = r.choice([1, 3, 8, 20, 40, 90, 200])
+            parts.append(r.choice([f"<p>{say(size)}</p>", f"<p>{say(size)}</p>", f"<h2>{say(r.randrange(1, 7))}</h2>", "<ul>" + f"<li>{say(r.randrange(1, 9))}" * 4 + "</ul>", "<table><tr>" + f"<td>{say(r.randrange(1, 4))}" * 6 + "</table>", f"<p>{say(size)} <a href=x>t t</a></p>"]))
+        if kind != "article" and len(" ".join(parts).split()) < 60:
+            continue
+        if kind == "article":
+            parts.insert(r.randrange(len(parts) + 1), r.choice(noise))
+        page = "<body>" + r.choice(noise) + f"<{kind}><h1>{say(5)}</h1>" + "".join(parts) + f"</{kind}>" + r.choice(noise)
+        want = " ".join(x for x in re.sub("<[^>]*>", " ", page).split() if x[0] == "t")
+        exact += html_text.main_text(page, tree) == want
+        n += 1
+    assert exact >= (0.95 if kind == "div" else 0.98) * n
+
+
 def test_html_keeps_articles_of_test_pages(spark):
     import html as h
     import re
