@@ -298,6 +298,9 @@ o <body><div><h1>+5</h1><p>+40</p><ul><li>+3<li>+5<li>+2</ul></div>
 o <body><div class=sidebar><p>-18</p></div><main><h1>+5</h1><p>+60</p><p>+2</p></main>
 * <body><article><h1>+5</h1><p>+40</p><p>+1 <a>+2</a></p><p>+30</p><p>+4 <a>+9</a></p><p>+20</p></article>
 * <body><article><h1>+5</h1><p>+90</p><ul><li>+3<li>+8</ul><p>+1 <a>+2</a></p><p>+60 <a>+2</a></p></article><div class=ad>-9</div>
+* <body><article><h1>+7</h1><p>+40</p><div class=related><ul><li><a>-7</a><li><a>-6</a></ul></div><p>+30</p></article>
+* <body><article><h1>+7</h1><div class=share><a>-1</a><a>-2</a></div><p>+40</p><nav><a>-3</a></nav><p>+12</p><p>+60</p></article><footer>-6</footer>
+* <body><article><div class=tags><a>-1</a></div><p>+14</p><ul><li><a>+4</a><li><a>+3</a></ul><p>+14</p></article>
 """
 
 
