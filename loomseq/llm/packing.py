@@ -1,12 +1,16 @@
 """Packing of token sequences as a cutting-stock problem solved by column generation.
 
 A document that is longer than a sequence fills whole sequences first; its rest (shorter than a sequence) is an item. The
-items' length histogram, at most ``width - 1`` numbers, is all that the linear program sees. Its columns are patterns whose
-lengths add up exactly to a sequence size that needs no padding (the width or a power of two below it); an unbounded
-knapsack over the dual prices finds the next column, and a revised simplex step takes it in. Rounded-down pattern counts
-are assigned to documents by their rank within their length. Items outside all patterns are laid end to end in the order of
-length and rank and cut at sequence ends; the last, short rest is cut into powers of two. So no sequence holds padding, and
-the program keeps cuts few.
+items' length histogram, at most ``width - 1`` numbers, is all that the linear program sees. Lengths are taken in classes of
+UNIT tokens, rounded up, so that it has ``width / UNIT`` rows. Its columns are patterns of classes that fit a sequence; an
+unbounded knapsack over the dual prices finds the next column, a revised simplex step takes it in, and it ends when no column
+can lower the number of sequences by more than a proven share. Pattern counts are rounded down; what this leaves is at most a
+sequence for each pattern, which rounding up and then best fit, both over true lengths, put into patterns as well. Every place of
+a pattern takes documents in the order of their length and rank, so a pattern falls into runs of equal lengths.
+
+What true lengths leave free in a sequence is filled by cutting: the items outside all patterns are laid end to end over these
+gaps in the order of length and rank, and patterns are given up until they suffice; what then remains goes into whole sequences,
+and the last, short rest is cut into powers of two. So no sequence holds padding.
 
 Ranks are an offset for (length, part of the table) plus a running count within that part, so no group of equal lengths
 ever meets in one task.
@@ -27,9 +31,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cache, rows_of, written
-from .token_counts import WORD, vocabulary_path
+from .pretokens import WORD
+from .token_counts import vocabulary_path
 
-WIDTH = 1024
+WIDTH, UNIT = 1024, 8
 BROADCAST_ROWS = 50_000
 
 
@@ -43,95 +48,136 @@ def encoder(path: str):
 
 
 # ---- the linear program -------------------------------------------------------------------------------------------------
-def sizes_without_padding(width: int) -> list[int]:
-    return [width, *(1 << k for k in range(width.bit_length() - 1, -1, -1) if 1 << k < width)]
-
-
-def price(dual: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best value and last item of every exact total, by unbounded knapsack over the dual prices."""
-    value, last = np.full(width + 1, -np.inf), np.zeros(width + 1, np.int64)
-    value[0] = 0
-    for t in range(1, width + 1):
-        n = np.searchsorted(lengths, t, side="right")
+def price(dual: np.ndarray, units: np.ndarray, size: int) -> tuple[float, dict[int, int]]:
+    """The most valuable pattern of classes (index: times) of at most size units, by unbounded knapsack."""
+    value, last = np.zeros(size + 1), np.full(size + 1, -1)
+    for t in range(1, size + 1):
+        n = np.searchsorted(units, t, side="right")
+        value[t] = value[t - 1]
         if n:
-            got = value[t - lengths[:n]] + dual[:n]
+            got = value[t - units[:n]] + dual[:n]
             k = int(got.argmax())
-            value[t], last[t] = got[k], k
-    return value, last
-
-
-def patterns(counts: dict[int, int], width: int = WIDTH, most: int = 1200, short: float = 0.5) -> list[tuple[dict[int, int], int]]:
-    """[({length: items}, times)]: times are whole and together use no more items than there are."""
-    lengths = np.array(sorted(k for k, n in counts.items() if 0 < k < width and n > 0))
-    if not len(lengths):
-        return []
-    m = len(lengths)
-    supply = np.array([counts[int(k)] for k in lengths], float)
-    supply *= 1 + 1e-9 * np.random.default_rng(1).random(m)  # against ties in the ratio test
-    cost = 0.01 + lengths / width  # of an item outside all patterns: about its share of a cut
-    inverse, basis, x = np.eye(m), [("item", i) for i in range(m)], supply.copy()
-    dual, ends = cost.copy(), sizes_without_padding(width)
-    for _ in range(most):
-        value, last = price(dual, lengths, width)
-        gain, end = max((value[e] - (0 if e == width else short), e) for e in ends)
-        if gain <= 1e-7:
+            if got[k] > value[t]:
+                value[t], last[t] = got[k], k
+    best, t = float(value[size]), size
+    what: dict[int, int] = {}
+    while t > 0:
+        if last[t] < 0:
+            t -= 1
+            continue
+        k = int(last[t])
+        what[k] = what.get(k, 0) + 1
+        t -= int(units[k])
+    return best, what
+
+
+def column_generation(supply: np.ndarray, units: np.ndarray, size: int, gap: float = 1e-4) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """([(pattern of classes, times)], lower bound): the fewest patterns that hold the supply of all classes, up to the gap. The
+    bound (value of the duals over that of the dearest pattern) holds at any step."""
+    m = len(units)
+    basis = [{i: int(size // units[i])} for i in range(m)]
+    scale = supply.sum()
+    x = supply / scale * (1 + 1e-7 * np.random.default_rng(1).random(m))  # against ties in the ratio test
+    need = x.copy()
+    inverse = np.diag([1 / p[i] for i, p in enumerate(basis)])
+    x, lower = inverse @ need, 0.0
+    while True:
+        dual = inverse.sum(0)
+        total = float(x.sum())
+        value, what = price(np.maximum(dual, 0), units, size)
+        lower = max(lower, float(np.maximum(dual, 0) @ need) / max(value, 1e-12))
+        if value <= 1 + 1e-9 or total - lower <= gap * total:
             break
         column = np.zeros(m)
-        t = end
-        while t:
-            column[last[t]] += 1
-            t -= int(lengths[last[t]])
+        for k, n in what.items():
+            column[k] = n
         d = inverse @ column
-        ok = d > 1e-9
-        if not ok.any():
-            break
-        ratio = np.where(ok, x / np.where(ok, d, 1), np.inf)
+        ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
         r = int(ratio.argmin())
         step = ratio[r]
-        x -= step * d
+        x = np.maximum(x - step * d, 0)
         x[r] = step
-        np.maximum(x, 0, out=x)
         row = inverse[r] / d[r]
         inverse -= np.outer(d, row)
         inverse[r] = row
-        dual -= gain * row
-        basis[r] = ("pattern", {int(lengths[i]): int(column[i]) for i in np.flatnonzero(column)})
-    left = {int(k): int(counts[int(k)]) for k in lengths}
-    out = []
-    for (kind, what), times in sorted(zip(basis, x, strict=True), key=lambda p: -p[1]):
-        if kind == "pattern":
-            n = min(int(times + 1e-6), *(left[k] // a for k, a in what.items()))
-            if n > 0:
-                out.append((what, n))
-                for k, a in what.items():
-                    left[k] -= a * n
-    return out + _rest(left, width, most)
-
-
-def _rest(left: dict[int, int], width: int, most: int) -> list[tuple[dict[int, int], int]]:
-    """Whole patterns from what rounding has left: the same knapsack, with prices that favour long items, and without the
-    lengths of which a pattern takes more than there are."""
-    out, barred = [], set()
-    for _ in range(most):
-        lengths = np.array(sorted(k for k, n in left.items() if n > 0 and k not in barred))
-        if not len(lengths):
-            break
-        value, last = price((lengths / width) ** 1.2, lengths, width)
-        if value[width] == -np.inf:
-            break
-        what, t = {}, width
-        while t:
-            k = int(lengths[last[t]])
-            what[k] = what.get(k, 0) + 1
-            t -= k
-        n = min(left[k] // a for k, a in what.items())
-        if not n:
-            barred |= {k for k, a in what.items() if a > left[k]}
-            continue
-        out.append((what, n))
-        for k, a in what.items():
-            left[k] -= a * n
-    return out
+        basis[r] = what
+    return [(p, float(n * scale)) for p, n in zip(basis, x, strict=True)], lower * scale
+
+
+def _best_fit(left: dict[int, int], width: int) -> list[list[int]]:
+    """Patterns of what is left, longest first, each length into the fullest sequences that still take it."""
+    bins: list[list[int]] = []
+    room = np.zeros(0, np.int64)
+    for k in sorted(left, reverse=True):
+        n = left[k]
+        while n:
+            fits = np.flatnonzero(room >= k)
+            if len(fits):
+                b = int(fits[room[fits].argmin()])
+            else:
+                bins.append([])
+                room = np.append(room, width)
+                b = len(bins) - 1
+            a = min(n, int(room[b]) // k)
+            bins[b] += [k] * a
+            room[b] -= a * k
+            n -= a
+    return bins
+
+
+def patterns(counts: dict[int, int], width: int = WIDTH, unit: int = UNIT) -> tuple[list[tuple[list[int], int]], float]:
+    """([(lengths, times)], lower bound of the program): times are whole and together use no more items than there are."""
+    left = {k: int(n) for k, n in sorted(counts.items()) if 0 < k < width and n > 0}
+    if not left:
+        return [], 0.0
+    unit = max(1, min(unit, width // 8))
+    size = width // unit
+    of = lambda k: min(size, -(-k // unit))
+    units = np.array(sorted({of(k) for k in left}))
+    at = {int(u): i for i, u in enumerate(units)}
+    supply = np.zeros(len(units))
+    queue: list[list[list[int]]] = [[] for _ in units]  # of each class: [length, items left], longest last
+    for k, n in left.items():
+        supply[at[of(k)]] += n
+        queue[at[of(k)]].append([k, n])
+    found, lower = column_generation(supply, units, size)
+    rest = supply.astype(np.int64)
+    chosen = []
+    for what, times in found:
+        n = int(min(times + 1e-6, *(rest[c] // a for c, a in what.items())))
+        for c, a in what.items():
+            rest[c] -= a * n
+        chosen.append([what, n, times - n])
+    for row in sorted(chosen, key=lambda r: -r[2]):  # rounding up where the items suffice
+        if row[2] > 1e-6 and all(rest[c] >= a for c, a in row[0].items()):
+            row[1] += 1
+            for c, a in row[0].items():
+                rest[c] -= a
+    out: list[tuple[list[int], int]] = []
+    for what, times, _ in chosen:
+        slots = [c for c, a in what.items() for _ in range(a)]
+        takes: list[list[list[int]]] = []  # of each slot: [length, items], in order
+        for c in slots:
+            need, mine = times, []
+            while need:
+                k, n = queue[c][-1]
+                a = min(n, need)
+                mine.append([k, a])
+                need -= a
+                queue[c][-1][1] -= a
+                if n == a:
+                    queue[c].pop()
+            takes.append(mine)
+        while times:
+            n = min(t[0][1] for t in takes)
+            out.append(([t[0][0] for t in takes], n))
+            times -= n
+            for t in takes:
+                t[0][1] -= n
+                if not t[0][1]:
+                    t.pop(0)
+    out += [(b, 1) for b in _best_fit({k: n for q in queue for k, n in q}, width)]
+    return out, lower
 
 
 class Plan:
@@ -139,21 +185,41 @@ class Plan:
 
     def __init__(self, counts: dict[int, int], width: int = WIDTH):
         self.width = width
-        runs: dict[int, list] = {k: [] for k in counts}  # length: [(first rank, first sequence, items in a pattern, offset)]
+        found, self.lower = patterns(counts, width)
+        found.sort(key=lambda p: (sum(p[0]) - width, p[1]))  # fullest last
+        gaps = sum((width - sum(p)) * n for p, n in found)
+        cut = 0  # tokens of items outside all patterns
+        begin = 0
+        while cut < gaps:  # patterns with the largest gaps are given up, until what is in them fills the other gaps
+            what, n = found[begin]
+            full, free = sum(what), width - sum(what)
+            give = min(n, -(-(gaps - cut) // width))
+            cut, gaps = cut + full * give, gaps - free * give
+            if give == n:
+                begin += 1
+            else:
+                found[begin] = (what, n - give)
+        runs: dict[int, list] = {k: [] for k in counts}  # length: [(first rank, first sequence, offset)]
         used = dict.fromkeys(counts, 0)
-        sequence = 0
-        for what, times in patterns(counts, width):
+        sequence, gap, table = 0, 0, [(0, 1, 0, width)]
+        for what, times in found[begin:]:
             at = 0
-            for k, a in what.items():
-                runs[k].append((used[k], sequence, a, at))
-                used[k] += a * times
-                at += a * k
+            for k in what:
+                runs[k].append((used[k], sequence, at))
+                used[k] += times
+                at += k
+            if at < width:
+                table.append((gap, width - at, sequence, at))
+                gap += (width - at) * times
             sequence += times
-        self.runs = {k: np.array(v, np.int64).reshape(-1, 4) for k, v in runs.items()}
+        self.runs = {k: np.array(v, np.int64).reshape(-1, 3) for k, v in runs.items()}
+        self.gaps, self.gap = np.array(table[1:], np.int64).reshape(-1, 4), gap
         self.used, self.base, self.first, at = used, {}, sequence, 0
         for k in sorted(counts):
             self.base[k] = at
             at += k * (counts[k] - used[k])
+        self.cut = at  # tokens of cut items
+        at -= gap
         self.whole = at // width
         ends, rest = [], at % width
         for bit in range(width.bit_length(), -1, -1):
@@ -165,19 +231,23 @@ class Plan:
         """(start in the item, length, sequence, offset)"""
         if rank < self.used[k]:
             runs = self.runs[k]
-            first, sequence, a, at = runs[np.searchsorted(runs[:, 0], rank, side="right") - 1].tolist()
-            n = rank - first
-            return [(0, k, sequence + n // a, at + k * (n % a))]
+            first, sequence, at = runs[np.searchsorted(runs[:, 0], rank, side="right") - 1].tolist()
+            return [(0, k, sequence + rank - first, at)]
         x = self.base[k] + (rank - self.used[k]) * k
         end, start, out = x + k, 0, []
         while x < end:
-            if x < self.whole * self.width:
-                q, low, high = x // self.width, x // self.width * self.width, (x // self.width + 1) * self.width
+            if x < self.gap:
+                first, size, sequence, at = self.gaps[np.searchsorted(self.gaps[:, 0], x, side="right") - 1].tolist()
+                n, within = divmod(x - first, size)
+                q, offset, free = sequence + n, at + within, size - within
+            elif x - self.gap < self.whole * self.width:
+                n, within = divmod(x - self.gap, self.width)
+                q, offset, free = self.first + n, within, self.width - within
             else:
-                i = int(np.searchsorted(self.tail, x, side="right")) - 1
-                q, low, high = self.whole + i, int(self.tail[i]), int(self.tail[i + 1])
-            n = min(end, high) - x
-            out.append((start, n, self.first + q, x - low))
+                i = int(np.searchsorted(self.tail, x - self.gap, side="right")) - 1
+                q, offset, free = self.first + self.whole + i, x - self.gap - int(self.tail[i]), int(self.tail[i + 1]) - (x - self.gap)
+            n = min(end - x, free)
+            out.append((start, n, q, offset))
             start, x = start + n, x + n
         return out
 

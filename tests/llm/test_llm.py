@@ -14,7 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from loomseq.llm import bpe, exact_dedup, html_text, jaccard_join, language_model, packing, passage_dedup, quality, token_counts, topk_search
+from loomseq.llm import bpe, exact_dedup, html_text, jaccard_join, language_model, packing, passage_dedup, pretokens, quality, token_counts, topk_search
 from loomseq.llm.suffix_array import common_prefixes, suffix_array
 
 SF = "/root/testdata/sf0.001"
@@ -56,11 +56,22 @@ def test_token_counts(docs, empty):
     import regex
 
     find = regex.compile(token_counts.WORD)
-    want = sorted(((i, sum(greedy(w.encode()) for w in find.findall(t or ""))) for i, t in ROWS), key=repr)
-    assert by_row(token_counts.token_counts(docs), "doc_id", "n_tokens") == want
+    want = sorted(((i, len(find.findall(t or "")), sum(greedy(w.encode()) for w in find.findall(t or ""))) for i, t in ROWS), key=repr)
+    assert by_row(token_counts.token_counts(docs), "doc_id", "n_words", "n_tokens") == want
     assert token_counts.token_counts(empty).count() == 0
 
 
+def test_pretokens():
+    import regex
+
+    find, r = regex.compile(token_counts.WORD), random.Random(1)
+    letters = ["'", "s", "t", "re", "ve", "ll", "d", "m", " ", "  ", "\n", "\t", "a", "B", "9", "²", "é", "ß", "中", "!", "_", "\x1c", "\x85", "\u200b", "🙂", "'s", " 'll"]
+    for _ in range(5000):
+        text = "".join(r.choice(letters) for _ in range(r.randrange(1, 30)))
+        assert pretokens.words(text) == find.findall(text)
+        assert [w for p in pretokens.pieces(text, 5) for w in pretokens.words(p)] == find.findall(text)
+
+
 def encode():
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     t.no_truncation()
@@ -100,6 +111,8 @@ def test_packing(docs, empty):
         assert [p.offset for p in ps] == np.cumsum([0, *(p.length for p in ps)]).tolist()[:-1]
         n = sum(p.length for p in ps)
         assert n <= 1024 and n & (n - 1) == 0
+    for i, text in ROWS:
+        assert {p.doc_tokens for p in whole.get(i, [])} <= {len(t.encode(text or "", add_special_tokens=False).ids) + 1}
     assert sum(p.length for p in pieces) == sum(len(t.encode(x or "", add_special_tokens=False).ids) + 1 for _, x in ROWS)
     assert packing.pack(empty).count() == 0
 
@@ -116,6 +129,25 @@ def test_packing_plan_covers_every_item():
     assert all(n & (n - 1) == 0 and n <= 1024 for n in seqs.values())
 
 
+def test_packing_program_bound_and_share():
+    r = np.random.default_rng(2)
+    for n in (3000, 200_000):
+        counts = dict(Counter(np.minimum(1023, r.lognormal(5, 1.2, n).astype(int) + 1).tolist()))
+        tokens = sum(k * m for k, m in counts.items())
+        found, lower = packing.patterns(counts)
+        have = Counter()
+        for what, times in found:
+            assert sum(what) <= 1024 and times > 0
+            for k in what:
+                have[k] += times
+        assert have == Counter(counts)  # every item is in a pattern before any is given up
+        assert lower >= tokens / 1024 - 1 and sum(m for _, m in found) <= 1.02 * lower + 1
+        plan = packing.Plan(counts)
+        assert sum(k * m for k, m in plan.used.items()) >= 0.95 * tokens
+    x, lower = packing.column_generation(np.array([30.0, 20.0, 50.0]), np.array([3, 5, 7]), 10)
+    assert abs(sum(t for _, t in x) - 60) < 0.01 and lower <= 60.01  # fifty of 7 + 3, ten of 5 + 5
+
+
 def test_html(spark):
     page = "<html><head><title>t</title><style>p{}</style></head><body><nav><a href=1>Home</a> <a href=2>More</a></nav><header>Site name</header><div class='cookie-banner'>We use cookies here for all the things.</div><article><h1>A  title &amp; more</h1><p>First <b>pa</b>rt of it.<p>Short.</p><script>x('</p>')</script><form>Your mail</form></article><aside>Read this other text too</aside><section id=comments><p>I liked reading this very much, thanks.</p></section><footer>&copy; us</footer>"
     df = spark.createDataFrame([(1, "u", page), (1, "u", page), (2, None, None), (3, "v", ""), (4, "w", "<p>" + "long words here " * 50_000), (None, "x", "<article><p>cut off &amp")], "page_id long, url string, html string")
@@ -137,7 +169,7 @@ def say(n, w="t"):
 
 def test_html_hints_do_not_decide_alone():
     tree = html_text.grow(*html_text.labelled())
-    assert {html_text.FEATURES[f] for f in splits(tree)} >= {"words", "links", "links_before", "group_words"}
+    assert {html_text.FEATURES[f] for f in splits(tree)} >= {"links", "links_before", "words_after", "group_words", "group_links"}
     article = "<body><article><h1>T</h1><p>%s</p>%s<p>%s</p></article>"
     for kept in (f"<div class='related-work'><h2>Related work</h2><p>{say(60)}</p></div>", f"<section id='search-methods'><p>{say(50)}</p><p>{say(30)}</p></section>"):
         page = article % (say(40), kept, say(30))
