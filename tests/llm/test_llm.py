@@ -229,6 +229,84 @@ def test_language_model(docs, empty):
     assert language_model.score_corpus(empty).count() == 0
 
 
+def test_language_model_draws_from_the_conditional():
+    def seatings(sizes, left, p, weight, out):
+        if not left:
+            out[len(sizes)] += p
+            return
+        for i, n in enumerate(sizes):
+            seatings(sizes[:i] + [n + 1] + sizes[i + 1 :], left - 1, p * (n - 0.75), weight, out)
+        seatings([*sizes, 1], left - 1, p * weight, weight, out)
+
+    rng = np.random.default_rng(1)
+    for weight in (0.3, 2.0):
+        want = np.zeros(7)
+        seatings([], 6, 1.0, weight, want)
+        want /= want.sum()
+        c, w = np.full(40_000, 6), np.full(40_000, weight)
+        assert abs(np.bincount(language_model.draw_tables(c, w, 0.75, rng), minlength=7) / 40_000 - want).max() < 0.015
+        exact, language_model.EXACT = language_model.EXACT, 0  # now by Metropolis steps
+        dishes = language_model.Dishes()
+        for _ in range(6):
+            t = dishes.resample(c, w, 0.75, rng)
+        language_model.EXACT = exact
+        assert abs(np.bincount(t, minlength=7) / 40_000 - want).max() < 0.015
+
+
+def test_language_model_score_by_hand(docs):
+    """The score of every row from dictionaries of the seatings' counts."""
+    lm = language_model
+    low = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+    words = lm._Words()
+    tokens, model = [], Counter()
+    for i, t in ROWS:
+        ids = [words.index[w] for w in (t or "").encode().translate(low).split()] + [0]
+        contexts = [lm.START] + [words.contexts[x] for x in ids[:-1]]
+        held = zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+        tokens.append((i, [(words.hashes[x], int(c)) for x, c in zip(ids, contexts, strict=True)]))
+        if not held:
+            model.update(tokens[-1][1])
+    size = sum(len((t or "").encode()) for _, t in ROWS)
+    ranges = max(12, -(-size // lm.BYTES_A_RANGE))
+    of = lambda h: (h >> 32) * ranges >> 32
+    known = sorted({h for h, _ in model})
+    vocabulary, seatings, every = len(known), {}, sorted({h for _, x in tokens for h, _ in x})
+    for r in range(ranges):
+        mine = [h for h in every if of(h) == r]
+        rows = sorted((mine.index(h), c, n) for (h, c), n in model.items() if of(h) == r)
+        seatings[r] = (lm.Seating(np.array(rows, lm.MODEL), len(mine), vocabulary, r), mine)
+    g, states = sum(s.totals() for s, _ in seatings.values()), []
+    for k in range(lm.BURN_IN + lm.SAMPLES):
+        for s, _ in seatings.values():
+            s.sweep(g)
+        g = sum(s.totals() for s, _ in seatings.values())
+        if k >= lm.BURN_IN:
+            two, one, root = {}, {}, {}
+            for s, mine in seatings.values():
+                two |= {(mine[w], c): (n, t) for w, c, n, t in zip(s.word.tolist(), s.context.tolist(), s.c2.tolist(), s.t2.tolist(), strict=True)}
+                one |= {(mine[w], c): (n, t) for w, c, n, t in zip(s.word1.tolist(), s.context1.tolist(), s.c1.tolist(), s.t1.tolist(), strict=True)}
+                root |= {h: (n, t) for h, n, t in zip(mine, s.c0.tolist(), s.t0.tolist(), strict=True)}
+            states.append((two, one, root))
+
+    def probability(state, h, c):
+        two, one, root = state
+        totals = lambda of: (sum(n for k, (n, _) in of), sum(t for k, (_, t) in of))
+        p = 1 / (vocabulary + 1)
+        for d, a, table, key, all_ in ((0.75, 5.0, root, h, root.items()), (0.8, 2.0, one, (h, c & 255), [x for x in one.items() if x[0][1] == c & 255]), (0.8, 2.0, two, (h, c), [x for x in two.items() if x[0][1] == c])):
+            n, t = totals(all_)
+            mine = table.get(key, (0, 0))
+            p = (max(0.0, mine[0] - d * mine[1]) + (a + d * t) * p) / (a + n)
+        return p
+
+    cache = {}
+    for state_key in {x for i, ts in tokens if i != 5 for x in ts}:
+        cache[state_key] = sum(probability(s, *state_key) for s in states) / len(states)
+    want = sorted(((i, round(sum(log10(cache[x]) for x in ts), 6)) for i, ts in tokens if i != 5), key=repr)
+    got = sorted(((r.doc_id, round(r.score, 6)) for r in lm.score_corpus(docs).collect() if r.doc_id != 5), key=repr)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-5)
+
+
 def test_language_model_sums_to_one_and_beats_the_base(spark):
     model = np.array([(0, 5, 3), (0, 261, 2), (1, 5, 4), (2, 9, 1)], language_model.MODEL)
     s = language_model.Seating(model, 4, 3, 0)
@@ -247,7 +325,7 @@ def test_language_model_splits_the_occurrences_of_a_frequent_word(spark):
     models = language_model._models(docs, ranges, 5, 1, "", 500)
     shares, most = language_model._shares(models, ranges)
     got = language_model._entries(docs, ranges, 5, 1, shares, 500).filter("entries is not null").toPandas()
-    got["n"] = [int(np.frombuffer(e, language_model.ENTRY)["n"].sum()) for e in got.entries]
+    got["n"] = [int(language_model.unpacked(e, language_model.ENTRY)["n"].sum()) for e in got.entries]
     assert got.n.sum() == models.toPandas()["size"].sum() == size
     part = got.groupby(["range", "part"]).n.sum()
     assert got.groupby("range").n.sum().max() > size / 3 and part.max() < size / 8  # "hot" in one range, but not in one part
