@@ -61,7 +61,8 @@ def exact_dedup(docs: DataFrame, tag: str = "") -> DataFrame:
     groups = full.groupBy("sha").agg(F.sum("rows").alias("size"), F.max(F.struct("doc_id", "uid")).alias("best")).filter("size > 1")
     decided = full.join(groups, "sha").select("uid", (F.col("uid") != F.col("best.uid")).alias("gone"), (F.col("rows") > 1).alias("repeated"))
     decided = written(decided.filter("gone or repeated"), "decided", tag)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), uid.alias("uid")).join(decided, "uid", "left").filter("gone is null or not gone")
+    # the same join at every size: small tables are not broadcast instead
+    rows = docs.select(F.struct(*docs.columns).alias("row"), uid.alias("uid")).join(decided.hint("merge"), "uid", "left").filter("gone is null or not gone")
     kept = rows.filter("repeated is null or not repeated").select("row").unionAll(rows.filter("repeated").dropDuplicates(["uid"]).select("row"))
     return kept.select("row.*")
 

@@ -23,6 +23,7 @@ two 64-bit hashes each.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import groups, rows_of, written
+from .common import free, groups, release, rows_of, written
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 400, 64
@@ -251,12 +252,21 @@ def _asked(classes: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
-    """(k, k2, spans): of each text with repeated strings, runs of their starts as array<struct<a, b>>, b exclusive."""
+    """(k, k2, spans): of each text with repeated strings, runs of their starts as array<struct<a, b>>, b exclusive; written. Tables
+    and shuffle files of the steps go as soon as nothing reads them."""
+    spark, own = docs.sparkSession, f"spans-{uuid.uuid4().hex}"
+
+    def step(df: DataFrame, name: str, until: str = "") -> DataFrame:
+        out = written(df, name, own + until)
+        free(spark)
+        return out
+
     found = _runs_of(docs, length).groupBy("k", "k2", "anchor", "run", "lo", "n").agg(F.count("*").alias("rows"), F.min("doc_id").alias("rep"), F.max("again").alias("again"), F.min("left").alias("left"), F.min("right").alias("right"))
-    found = written(found, "runs", tag)
+    found = step(found, "runs", ":live")
     often = found.groupBy("anchor").agg(F.sum("rows").alias("total"), F.min("run").alias("x"), F.max("run").alias("y"), F.max("again").alias("again")).filter("total > 1 or again")
-    live = written(found.drop("again").join(often.select("anchor", "again", ((F.col("x") < F.col("y")) | F.col("again")).alias("several")), "anchor"), "live", tag)
-    classes = written(live.groupBy("anchor", "run").agg(F.sum("rows").alias("c"), F.min("k").alias("k"), F.max("several").alias("several"), F.max("again").alias("again"), F.min("left").alias("left"), F.min("right").alias("right")), "classes", tag)
+    live = step(found.drop("again").join(often.select("anchor", "again", ((F.col("x") < F.col("y")) | F.col("again")).alias("several")), "anchor"), "live")
+    release(spark, own + ":live")
+    classes = step(live.groupBy("anchor", "run").agg(F.sum("rows").alias("c"), F.min("k").alias("k"), F.max("several").alias("several"), F.max("again").alias("again"), F.min("left").alias("left"), F.min("right").alias("right")), "classes")
     asked = live.filter("several").select("k", "k2", "rep", "anchor", "run", "lo", "n").join(_asked(classes), ["anchor", "run", "k"])
     asked = asked.select("k", "k2", "rep", F.struct("anchor", "run", "lo", "n", "c", "subs", F.pmod(F.xxhash64("run"), F.col("subs")).cast("int").alias("sub")).alias("ask"))
     asked = asked.groupBy("k", "k2", "rep").agg(F.collect_list("ask").alias("asks"))
@@ -273,9 +283,9 @@ def spans(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.record_batch([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)], names=[*names, "bytes"])
 
-    contexts = written(at.mapInArrow(cut, "anchor long, sub int, run long, c long, subs int, bytes binary"), "contexts", tag)
+    contexts = step(at.mapInArrow(cut, "anchor long, sub int, run long, c long, subs int, bytes binary"), "contexts")
     size = contexts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    solved = written(_suffix_marks(contexts, length, max(1, -(-size // TASK_BYTES))), "solved", tag)
+    solved = step(_suffix_marks(contexts, length, max(1, -(-size // TASK_BYTES))), "solved")
     marks = solved.filter("marks is not null").select("anchor", "run", "marks")
     if contexts.filter("subs > 1").limit(1).count():
         marks = marks.unionByName(_cross_marks(contexts, solved, length))
@@ -285,7 +295,10 @@ def spans(docs: DataFrame, length: int = LENGTH, tag: str = "") -> DataFrame:
     rows = live.select("k", "k2", "anchor", "run", "lo", "n").join(classes.select("anchor", "run", "c"), ["anchor", "run"]).join(marks, ["anchor", "run"], "left")
     rows = rows.select("k", "k2", "lo", F.coalesce(whole, "p").alias("p")).filter("p is not null")
     rows = rows.select("k", "k2", F.transform("p", lambda x: F.struct((x["a"] + F.col("lo")).alias("a"), (x["b"] + F.col("lo")).alias("b"))).alias("p"))
-    return rows.groupBy("k", "k2").agg(F.flatten(F.collect_list("p")).alias("spans"))
+    out = written(rows.groupBy("k", "k2").agg(F.flatten(F.collect_list("p")).alias("spans")), "spans", tag)
+    release(spark, own)
+    free(spark)
+    return out
 
 
 def cover(n: int, found: list | None, length: int) -> list[tuple[int, int]]:
@@ -304,7 +317,7 @@ def _with_spans(docs: DataFrame, length: int, tag: str) -> DataFrame:
     """(row: all columns of docs, text, spans)"""
     text = F.coalesce("text", F.lit(""))
     at = docs.select(F.struct(*docs.columns).alias("row"), "text", F.xxhash64(text).alias("k"), F.xxhash64(F.lit(1), text).alias("k2"))
-    return at.join(written(spans(docs.select("doc_id", "text"), length, tag), "spans", tag), ["k", "k2"], "left").select("row", "text", "spans")
+    return at.join(spans(docs.select("doc_id", "text"), length, tag), ["k", "k2"], "left").select("row", "text", "spans")
 
 
 def _kept(raw: bytes, gone: list[tuple[int, int]]) -> bytes:
