@@ -100,6 +100,19 @@ def id_range(seq_id: Column) -> Column:
     return F.struct(F.regexp_replace(seq_id, r"(~{1,2}\d+\.\.\d+)+$", "").alias("id"), (a + shift).alias("from"), (b + shift).alias("to"))
 
 
+def record_position(seq_id: Column, length: Column) -> Column:
+    """(orig_id, start_pos, end_pos, whole, joins_left, joins_right) of a report row: where a part lies in its sequence, and whether a part of
+    a part touches the ends of what it is cut from."""
+    at = lambda pattern, k: F.regexp_extract(seq_id, pattern, k).try_cast("long")
+    outer, inner = r"^[^~]+~(\d+)\.\.(\d+)", r"~~(\d+)\.\.(\d+)$"
+    a, b, c, e = at(outer, 1), at(outer, 2), at(inner, 1), at(inner, 2)
+    whole, shift = a.isNull() & c.isNull(), F.coalesce(a, F.lit(1)) - 1
+    return F.struct(
+        F.regexp_extract(seq_id, "^[^~]+", 0).alias("orig_id"), F.when(whole, 1).otherwise(F.coalesce(c + shift, a)).alias("start_pos"),
+        F.when(whole, length).otherwise(F.coalesce(e + shift, b)).alias("end_pos"), whole.alias("whole"),
+        (a.isNull() | c.isNull() | (c == 1)).alias("joins_left"), (a.isNull() | c.isNull() | (e == b - a + 1)).alias("joins_right"))
+
+
 def previous_accession(acc: Column) -> Column:
     v = F.split(acc, r"\.")
     return F.concat(v[0], F.lit("."), (v[1].cast("int") - 1).cast("string"))
@@ -107,7 +120,10 @@ def previous_accession(acc: Column) -> Column:
 
 def reduced_protein(seq: Column) -> Column:
     """Four groups of residues as digits; unknown ones are in group 3."""
-    return F.regexp_replace(F.translate(F.upper(seq), "AGPSTCDENQHKRILMVFWY", "00000011112223333333"), "[^0-3]", "3")
+    # fixed values: the residues of each group
+    groups = {"0": "CFYW*", "1": "MLIV", "2": "GPATSN", "3": "EDHQRK"}
+    plain = F.regexp_replace(F.upper(seq), f"[^{''.join(groups.values())}]", "K")
+    return F.translate(plain, "".join(groups.values()), "".join(k * len(v) for k, v in groups.items()))
 
 
 def stride(in_frame: Column, long: Column) -> Column:

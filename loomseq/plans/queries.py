@@ -256,7 +256,6 @@ def _records(s, d):
 
 query("classify_rows")(lambda s, d: classify.classify(_records(s, d), ["anml:mammals"], ["prok:firmicutes", "fung:fungi"], 0.001).select("seq_id", "result", "result_div"))
 query("div_totals", f"WITH {NODES.replace('event_type AS div', 'event_type AS div')}, {TOP}, {DIVR} SELECT {DIVSQL.replace('div ', 't4.div ', 1)} AS div, count(*) AS \"rows\", CAST(sum(n) AS BIGINT) AS total_len, CAST(sum(CASE WHEN rank = 1 THEN n ELSE 0 END) AS BIGINT) AS first_len FROM t4 JOIN wh ON t4.q_id = wh.q_id GROUP BY ALL")(lambda s, d: classify.div_totals(_records(s, d)).select("div", "rows", "total_len", "first_len"))
-query("select_divs")(lambda s, d: classify.select_divs(classify.div_totals(_records(s, d)), "anml:mammals", 1, 0.99))
 LAB = "CASE l_returnflag WHEN 'A' THEN 'contaminant' WHEN 'R' THEN 'primary' ELSE 'grey' END"
 ROWS = f"r AS (SELECT l_orderkey AS seq_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_returnflag) AS at, CAST(floor(l_quantity) AS BIGINT) AS len, {LAB} AS label, CAST(floor(l_discount * 1000 + 0.5) AS BIGINT) AS pct, r_name AS div FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
 
@@ -376,3 +375,7 @@ def flagship(s, d):
 
 for _name in ("spans", "low_cov_promote", "review_needs_exclude", "integrants", "seq_stats", "div_stats", "production_limits", "summary_rollup", "hosted_integrants"):
     SQL[_name] = re.sub(r"(?<![\w\"])at\b", '"at"', SQL[_name])  # a word of SQL
+
+from . import classes  # noqa: E402
+
+classes.register(query)
