@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import shutil
+import sys
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +23,31 @@ def barrier(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A folder that all executors share, from spark.checkpoint.dir. Only a local master may do without that setting, as in tests."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        top = getattr(sys, "_loomseq_base", None)
+        if top is None:
+            top = sys._loomseq_base = tempfile.mkdtemp(prefix="loomseq-")
+            atexit.register(shutil.rmtree, top, True)
+        top = f"file://{top}"
+    return f"{top}/loomseq-{spark.sparkContext.applicationId}"
+
+
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new path in the work folder."""
+    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The same rows, computed now and kept in the checkpoint folder that executors share; what reads them several times does not
-    compute them again. A private folder serves only where none is set, as in tests."""
+    compute them again."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = tempfile.mkdtemp(prefix="loomseq-")
-        atexit.register(shutil.rmtree, folder, True)
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(work_folder(df.sparkSession))
     return df.checkpoint()
 
 

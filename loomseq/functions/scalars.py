@@ -141,3 +141,24 @@ def checksums(data: Column) -> Column:
 
 def effective_fraction(by_div: Column, by_all: Column) -> Column:
     return by_div / F.greatest(by_all, F.lit(1))
+
+
+def hull(a_pos: Column, a_len: Column, b_pos: Column, b_len: Column) -> Column:
+    """(pos, len, overlap, distance) of two intervals: what holds both, what both hold, and the free letters between them (less than
+    0 where they overlap)."""
+    first, last = F.least(a_pos, b_pos), F.greatest(a_pos + a_len, b_pos + b_len)
+    between = F.greatest(a_pos, b_pos) - F.least(a_pos + a_len, b_pos + b_len)
+    return F.struct(first.alias("pos"), (last - first).alias("len"), F.greatest(F.lit(0), -between).alias("overlap"), between.alias("distance"))
+
+
+def exact_sum(value: Column, places: int = 6) -> Column:
+    """A sum in decimals, which no order of the rows changes; in place of compensated sums of doubles."""
+    return F.sum(value.cast(f"decimal(38,{places})"))
+
+
+def run_date(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd")
+
+
+def build_date(ts: Column) -> Column:
+    return F.date_format(ts, "yyyyMMdd")

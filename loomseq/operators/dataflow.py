@@ -189,3 +189,65 @@ def gmean_by(df, key, value: str, name: str = "gmean") -> DataFrame:
 
 def at_or_default(df, lookup: DataFrame, key: str, value: str, default) -> DataFrame:
     return df.join(lookup, key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+
+
+def fold_default(df, key: list[str], order: list[str], value: str, merge, name: str, kind: str = "long") -> DataFrame:
+    """Left fold from the default of a kind: 0, or an empty text."""
+    return fold(df, key, order, value, F.lit("" if kind == "string" else 0).cast(kind), merge, name)
+
+
+def sort_by(df, key: list, order: list) -> DataFrame:
+    """Sorted by key; rows of equal keys stay in the order of order."""
+    return df.orderBy(*key, *order)
+
+
+def lazy_sort(df, key: list, n: int) -> DataFrame:
+    """The first n of a sort, without sorting the rest."""
+    return df.orderBy(*key).limit(n)
+
+
+def set_unique(df: DataFrame, key: list[str], value: str, default, name: str) -> DataFrame:
+    """The one value of each key, or the default where all are null; several different ones are an error."""
+    g = df.groupBy(*key).agg(F.count_distinct(value).alias("_n"), F.max(value).alias(name))
+    wrong = F.raise_error(F.lit("expected one value at most"))
+    return g.select(*key, F.when(F.col("_n") > 1, wrong).otherwise(F.coalesce(name, F.lit(default))).alias(name))
+
+
+def adapt(df: DataFrame, key: list[str], order: list[str], step, schema: str) -> DataFrame:
+    """A stage of one's own that pulls rows in order: step takes an iterator of row dictionaries and yields dictionaries. It runs once
+    for each key; rows come and go as a stream, so a key's rows need not fit memory."""
+    import itertools
+
+    import pandas as pd
+
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(parts):
+        rows = (r for pdf in parts for r in pdf.to_dict("records"))
+        out = (x for _, mine in itertools.groupby(rows, lambda r: tuple(r[k] for k in key)) for x in step(mine))
+        while some := list(itertools.islice(out, 20_000)):
+            yield pd.DataFrame(some, columns=names)
+
+    return df.repartition(*key).sortWithinPartitions(*key, *order).mapInPandas(run, schema)
+
+
+def map_groups(df: DataFrame, key: list[str], order: list, by: str, f, name: str) -> DataFrame:
+    """Runs of neighbours with one value of by, each row given f(window of its run)."""
+    g = group_adjacent(df, key, order, by, "_run")
+    return g.withColumn(name, f(Window.partitionBy(*key, "_run").orderBy(*order))).drop("_run")
+
+
+def map_groups_if(df: DataFrame, key: list[str], order: list, together: Column, f, name: str) -> DataFrame:
+    """The same for runs of rows that hold together with the row before."""
+    g = group_adjacent_if(df, key, order, together, "_run")
+    return g.withColumn(name, f(Window.partitionBy(*key, "_run").orderBy(*order))).drop("_run")
+
+
+def counter(added: DataFrame, removed: DataFrame, *key: str) -> DataFrame:
+    """Elements of a multiset after additions and removals; those that are used up are gone."""
+    both = added.select(*key, F.lit(1).alias("_n")).unionAll(removed.select(*key, F.lit(-1).alias("_n")))
+    return both.groupBy(*key).agg(F.sum("_n").alias("n")).filter("n > 0")
+
+
+def irange(spark, start: int, stop: int, step: int = 1) -> DataFrame:
+    return spark.range(start, stop, step)

@@ -376,6 +376,7 @@ def flagship(s, d):
 for _name in ("spans", "low_cov_promote", "review_needs_exclude", "integrants", "seq_stats", "div_stats", "production_limits", "summary_rollup", "hosted_integrants"):
     SQL[_name] = re.sub(r"(?<![\w\"])at\b", '"at"', SQL[_name])  # a word of SQL
 
-from . import classes  # noqa: E402
+from . import classes, files, flow  # noqa: E402
 
-classes.register(query)
+for _module in (classes, files, flow):
+    _module.register(query)

@@ -131,3 +131,72 @@ def fetch(seqs: DataFrame, locations: DataFrame) -> DataFrame:
 def write_index(index: DataFrame, name: str, buckets: int = 64) -> None:
     """Postings as a table bucketed and sorted by word, so that seed joins need no shuffle of the index."""
     index.write.mode("overwrite").bucketBy(buckets, "word").sortBy("word").saveAsTable(name)
+
+
+def extend_metaline(line: str, **content) -> str:
+    """A header line with more content, such as facts of the run or of the subject set; what is there already is replaced."""
+    head, *rest = json.loads(line.removeprefix("##"))
+    return "##" + json.dumps([head, {**(rest[0] if rest else {}), **content}])
+
+
+def read_id_map(spark, path) -> DataFrame:
+    """Distinct (seq_id, tax_id)."""
+    return read_tsv(spark, path, "seq_id string, tax_id int").filter("seq_id is not null").distinct()
+
+
+def lookup(spark, path, pattern: str) -> DataFrame:
+    """Lines of text files, gz or plain, that a pattern matches."""
+    return spark.read.text(path).filter(F.col("value").rlike(pattern))
+
+
+def read_manifest_files(spark, path) -> DataFrame:
+    """The lines of all files that a manifest (one path a line, gz or plain) names."""
+    paths = [r.value.strip() for r in spark.read.text(path).collect() if r.value.strip() and not r.value.startswith("#")]
+    return spark.read.text(paths)
+
+
+def subject_set(spark, path) -> tuple[DataFrame, DataFrame]:
+    """(taxa, ids) from rows of seq_id, tax_id, species, common_name, blast_div, div; rows without six fields are an error."""
+    rows = spark.read.text(path).filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(F.split("value", "\t", -1).alias("c"))
+    field = lambda i: F.when(F.size("c") == 6, F.col("c")[i]).otherwise(F.raise_error(F.lit("a row has not six fields")))
+    names = ["seq_id", "tax_id", "species", "common_name", "blast_div", "div"]
+    d = rows.select(*(field(i).alias(n) for i, n in enumerate(names))).withColumn("tax_id", F.col("tax_id").cast("int"))
+    return d.select(*names[1:]).distinct(), d.select("seq_id", "tax_id").distinct()
+
+
+def with_division(rows: DataFrame, mapping: DataFrame, primary: str, secondary: str) -> DataFrame:
+    """rows with div by a mapping (name, div): of the first name, else of the second, else unkn:unknown. A mapping has a few dozen rows."""
+    m = F.broadcast(mapping)
+    a = m.select(F.col("name").alias(primary), F.col("div").alias("_a"))
+    b = m.select(F.col("name").alias(secondary), F.col("div").alias("_b"))
+    d = rows.join(a, primary, "left").join(b, secondary, "left")
+    return d.withColumn("div", F.coalesce("_a", "_b", F.lit("unkn:unknown"))).drop("_a", "_b")
+
+
+def mask(seqs: DataFrame, ranges: DataFrame, hard: bool = False) -> DataFrame:
+    """(seq_id, seq) with the letters of ranges (seq_id, pos, len) in lower case, or as N; ranges may overlap."""
+    r = intervals.merge(ranges, ["seq_id"]).groupBy("seq_id").agg(F.array_sort(F.collect_list(F.struct("pos", "len"))).alias("r"))
+    d = seqs.join(r, "seq_id", "left")
+    text = lambda x: F.repeat(F.lit("N"), F.length(x)) if hard else F.lower(x)
+
+    def step(done, x):
+        before = F.substring(F.col("seq"), done["at"], F.greatest(x["pos"].cast("int") - done["at"], F.lit(0)))
+        inside = F.substring(F.col("seq"), x["pos"].cast("int"), x["len"].cast("int"))
+        return F.struct((x["pos"] + x["len"]).cast("int").alias("at"), F.concat(done["out"], before, text(inside)).alias("out"))
+
+    none = F.array().cast("array<struct<pos:bigint,len:bigint>>")
+    done = F.aggregate(F.coalesce("r", none), F.struct(F.lit(1).alias("at"), F.lit("").alias("out")), step)
+    return d.select("seq_id", done.alias("x")).join(seqs.select("seq_id", F.col("seq").alias("_s")), "seq_id").select(
+        "seq_id", F.concat(F.col("x.out"), F.substring(F.col("_s"), F.col("x.at"), F.length("_s"))).alias("seq"))
+
+
+def store_index(index: DataFrame, path: str, buckets: int = 64) -> None:
+    """Postings as Parquet folders by bucket of the word, sorted by word, so that a lookup reads one bucket and few row groups."""
+    d = index.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int"))
+    d.repartition(buckets, "bucket").sortWithinPartitions("bucket", "word").write.partitionBy("bucket").parquet(path)
+
+
+def load_index(spark, path: str, words: list | None = None) -> DataFrame:
+    """The postings, or those of a short list of words; a full join reads the table as a whole."""
+    d = spark.read.parquet(path)
+    return d.drop("bucket") if words is None else d.filter(F.col("word").isin(words)).drop("bucket")
