@@ -335,8 +335,6 @@ query("decide_actions")(_decide)
 
 # ---- sketches and selection ---------------------------------------------------------------------------------------------
 sigs = lambda s, d: sketch.signatures(table(s, d, "benchmark").select(F.col("item_id").alias("id"), "text"))
-query("minhash_signature")(sigs)
-query("minhash_pairs")(lambda s, d: sketch.similar_pairs(sigs(s, d)))
 
 
 def _greedy(s, d):
@@ -376,7 +374,7 @@ def flagship(s, d):
 for _name in ("spans", "low_cov_promote", "review_needs_exclude", "integrants", "seq_stats", "div_stats", "production_limits", "summary_rollup", "hosted_integrants"):
     SQL[_name] = re.sub(r"(?<![\w\"])at\b", '"at"', SQL[_name])  # a word of SQL
 
-from . import classes, files, flow  # noqa: E402
+from . import classes, files, flow, screens  # noqa: E402
 
-for _module in (classes, files, flow):
+for _module in (classes, files, flow, screens):
     _module.register(query)
