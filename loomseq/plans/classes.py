@@ -71,7 +71,7 @@ def _euk(x: str) -> str:
     return f"(NOT {_prok(x)} AND NOT {_virus(x)})"
 
 
-def _classes(name, ours, theirs, outlier) -> str:
+def _classes(name, ours, theirs, outlier, fraction=0.2) -> str:
     """The rules for one setting, as SQL over rec."""
     meta, p0 = ours == ["unkn:metagenomes"], ours[0]
     fits = lambda kind: f"virus IN ('virs:viruses', 'virs:{kind} viruses')"
@@ -99,7 +99,7 @@ FROM (SELECT *, list_contains(kdms, {kind_of(_kingdom)}) AS same, len(kdms) = 1
     AND len(list_filter(near, lambda x: x.score > t.score * 0.8 AND x.div <> t.div)) = 0, false) AS human
  FROM (SELECT *, list_transform(near, lambda x: x.div) AS divs, list_distinct(list_transform(near, lambda x: {_kingdom('x.div')})) AS kdms,
    t.cvg_by_tax > 200 AND t.score * t.score > 15 * t.cvg_by_tax AND frac > 0.5 AS strong
-  FROM (SELECT *, t IS NULL OR t.cvg_by_div < 0.2 * len AS low, lc + co + xp > least(CAST(cvg_by_all AS DOUBLE), 0.66 * len) AS rep,
+  FROM (SELECT *, t IS NULL OR t.cvg_by_div < {fraction} * len AS low, lc + co + xp > least(CAST(cvg_by_all AS DOUBLE), 0.66 * len) AS rep,
     ([30, 25, 40])[1 + CAST({_euk('t.div')} AS INTEGER) + CAST({kind_of(_euk)} AS INTEGER)] AS least,
     t.cvg_by_div / greatest(greatest(len - lc - co - xp, cvg_by_all), 1) AS frac,
     list_filter(taxa, lambda x: x.score * x.cvg_by_div > t.score * t.cvg_by_div

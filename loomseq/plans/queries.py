@@ -378,3 +378,12 @@ from . import classes, files, flow, screens  # noqa: E402
 
 for _module in (classes, files, flow, screens):
     _module.register(query)
+
+_rec = f"""rec AS (SELECT CAST(t4.q_id AS VARCHAR) AS seq_id, any_value(wh.n) AS len, t4.q_id % 50 AS xp, t4.q_id % 30 AS lc, 0 AS co, 0 AS n,
+ CAST(any_value(ac.cvg) AS BIGINT) AS cvg_by_all, list({{'tax_id': tax_id, 'div': {DIVSQL.replace("div ", "t4.div ", 1)}, 'cvg_by_div': CAST(dc.cvg AS BIGINT),
+ 'cvg_by_tax': CAST(cvg_by_tax AS BIGINT), 'score': CAST(floor(score + 0.5) AS BIGINT)}} ORDER BY rank) AS taxa
+ FROM t4 JOIN dc ON t4.q_id = dc.q_id AND t4.div = dc.div JOIN ac ON t4.q_id = ac.q_id JOIN wh ON wh.q_id = t4.q_id GROUP BY t4.q_id)"""
+SQL["classify_rows"] = (
+    f"WITH {NODES}, {TOP}, {DIVR}, {_rec}, c AS ({classes._classes('x', ['anml:mammals'], ['prok:firmicutes', 'fung:fungi'], False, 0.001)}) "
+    "SELECT CAST(seq_id AS BIGINT) AS seq_id, result, result_div FROM c"
+)
