@@ -14,7 +14,8 @@ Trees are built once and stored by shard. Queries are dealt out in blocks; every
 memory at a time, and the k best of each shard are merged.
 
 Defined results: vectors that are null, empty, of another length than the commonest one, or hold null or non-finite components
-take no part; repeated rows are candidates of their own except that rows with the query's own id are never its results;
+take no part; a squared norm of 2^53 or more is an error (scores are exact below it); where a query's id repeats, its least vector is
+the query; repeated rows are candidates of their own except that rows with the query's own id are never its results;
 with fewer than k candidates all are returned; extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -60,31 +61,29 @@ class Tree:
         if len(rows) <= self.page:
             self.pages.append((True, x, np.zeros(len(rows)), far(centre, x), rows))
             return len(self.pages) - 1
-        seeds = [0]  # routing vectors: each the farthest from those before it
-        near = ((x - x[0]) ** 2).sum(1)
-        own = np.zeros(len(rows), np.int64)
-        while len(seeds) < min(self.page, -(-len(rows) // self.page) + 1):
-            far_row = int(near.argmax())
-            if near[far_row] <= 0:
-                break
-            d = ((x - x[far_row]) ** 2).sum(1)
-            own[d < near] = len(seeds)
-            near = np.minimum(near, d)
-            seeds.append(far_row)
-        if len(seeds) == 1:  # equal vectors: pages of them in a row
-            own = np.arange(len(rows)) // max(self.page, -(-len(rows) // self.page))
-            seeds = [int(np.flatnonzero(own == k)[0]) for k in range(own[-1] + 1)]
         at, radius, child = [], [], []
-        for k, s in enumerate(seeds):
-            mine = np.flatnonzero(own == k)
-            if len(mine):
-                at.append(x[s])
-                radius.append(np.sqrt(((x[mine] - x[s]) ** 2).sum(1).max()))
-                child.append(self._build(rows[mine], x[s]))
+        for mine in self._parts(rows, min(self.page, -(-len(rows) // self.page))):
+            y = self.points[mine]
+            middle = y[((y - y.mean(0)) ** 2).sum(1).argmin()]  # the routing vector: the one nearest to the mean
+            at.append(middle)
+            radius.append(np.sqrt(((y - middle) ** 2).sum(1).max()))
+            child.append(self._build(mine, middle))
         at = np.array(at)
         self.pages.append((False, at, np.array(radius), far(centre, at), np.array(child)))
         return len(self.pages) - 1
 
+    def _parts(self, rows: np.ndarray, parts: int) -> list[np.ndarray]:
+        """So many parts of about equal size, each by halving along the line between two far points; so pages are well filled."""
+        if parts <= 1:
+            return [rows]
+        x = self.points[rows]
+        a = x[((x - x[0]) ** 2).sum(1).argmax()]
+        b = x[((x - a) ** 2).sum(1).argmax()]
+        order = np.argsort(x @ (b - a), kind="stable")
+        left = parts // 2
+        cut = len(rows) * left // parts
+        return self._parts(rows[order[:cut]], left) + self._parts(rows[order[cut:]], parts - left)
+
     def search(self, query: np.ndarray, own: int, k: int, top: float) -> list[tuple[int, int]]:
         """The k best (score, vec_id), best first."""
         query = query.astype(np.float64)
@@ -138,6 +137,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tag: str = "") ->
     if stats is None:
         return vectors.sparkSession.createDataFrame([], schema)
     dim, top = stats.dim, float(stats.top)
+    if stats.top >= 1 << 53:
+        raise ValueError("components are too large for exact scores")
     n_queries = asked.filter(F.size("q") == dim).count()
     shards, blocks = max(1, -(-stats.rows // SHARD_ROWS)), max(1, -(-n_queries // BLOCK_QUERIES))
 
@@ -172,7 +173,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tag: str = "") ->
 
 
 def top_five(vectors: DataFrame) -> DataFrame:
-    return search(vectors, vectors.filter("vec_id % 50 = 0").dropDuplicates(["vec_id"]), 5)
+    return search(vectors, vectors.filter("vec_id % 50 = 0").groupBy("vec_id").agg(F.min("embedding").alias("embedding")), 5)
 
 
 ORACLE = """
