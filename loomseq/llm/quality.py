@@ -20,14 +20,14 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Memo, cache, rows_of
+from .common import Memo, cache, rows_of, written
 
 BITS = 18
-MAX_ROWS = 6000
+MAX_ROWS, MAX_COLUMNS = 6000, 50_000_000
 THRESHOLD = 0.3
 
 
@@ -161,7 +161,9 @@ def _curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(c)
 
 
-def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_rows: int = MAX_ROWS, bits: int = BITS) -> dict:
+def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_rows: int = MAX_ROWS, bits: int = BITS, max_columns: int = MAX_COLUMNS) -> dict:
+    """The model of a bounded sample of labelled rows: at most max_rows ids, by a hash, and max_columns n-grams of theirs in all. An id
+    that repeats is learnt once, with its greatest text."""
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     train_rows = known.filter(~held_out(F.col("doc_id"), mod, rest)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     ids = {r.doc_id: int(r.quality > 0) for r in train_rows.collect()}
@@ -175,7 +177,12 @@ def train(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, max_r
             found = [np.sort(feats(t)).astype(np.int32).tobytes() for t in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(found, pa.binary())], names=["doc_id", "columns"])
 
-    got = sorted({(r.doc_id, bytes(r["columns"])) for r in picked.select("doc_id", "text").mapInArrow(columns, "doc_id long, columns binary").toLocalIterator()})
+    # one row for each id, and no more columns in all than max_columns: both in the order of a hash of the id
+    one = picked.groupBy("doc_id").agg(F.max("text").alias("text"))
+    found = written(one.mapInArrow(columns, "doc_id long, columns binary"), "columns")
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # at most max_rows rows
+    sizes = found.select("doc_id", F.sum(F.octet_length("columns") / 4).over(order).alias("total")).filter(F.col("total") <= max_columns)
+    got = sorted((r.doc_id, bytes(r["columns"])) for r in found.join(F.broadcast(sizes.select("doc_id")), "doc_id", "left_semi").toLocalIterator())
     return fit_columns([np.frombuffer(x, np.int32) for _, x in got], np.array([ids[i] for i, _ in got]), bits)
 
 
