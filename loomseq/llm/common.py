@@ -33,6 +33,8 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         top = getattr(sys, "_loomseq_work", None)
         if top is None:
             top = sys._loomseq_work = tempfile.mkdtemp(prefix="loomseq-")
@@ -130,9 +132,10 @@ def lower_ascii(col):
     return F.translate(F.coalesce(col, F.lit("")), UPPER, LOWER)
 
 
-def components(edges: DataFrame, tag: str, most: int = 40) -> DataFrame:
+def components(edges: DataFrame, tag: str) -> DataFrame:
     """Connected components of (a long, b long): (node, root), root the least node. Alternating large- and small-star
-    rounds; the number of rounds is logarithmic in a component's diameter. Nothing is collected to the driver."""
+    rounds until each component is a star; their number is logarithmic in a component's diameter. Nothing is collected to the
+    driver."""
     def both(e):
         return e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
@@ -147,11 +150,13 @@ def components(edges: DataFrame, tag: str, most: int = 40) -> DataFrame:
         return out.filter("a <> b").distinct()
 
     e = edges.filter("a <> b").select("a", "b").distinct()
-    before = None
-    for k in range(most):
+    k = 0
+    while True:
         e = written(star(star(e, True), False), f"star{k}", tag)
-        now = e.agg(F.count("*"), F.sum(F.hash("a", "b").cast("decimal(20,0)"))).first()
-        if now == before:
+        k += 1
+        # done when every node has one root and no root has another: then a further round changes nothing
+        sides = e.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(e.select("b", F.lit(0), F.lit(1)))
+        seen = sides.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if seen.filter("up > 1 or (up > 0 and down > 0)").isEmpty():
             break
-        before = now
     return e.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")

@@ -480,3 +480,66 @@ def test_entry_lists_all_queries():
     names = e.queries()
     assert {f"op{k}" for k in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(e.oracle_sql()) <= set(names)
+
+
+def test_quality_descent_is_optimal():
+    """No small change of the weights lowers the hinge objective; class weights and the scaling of rows are done by hand."""
+    r = np.random.default_rng(3)
+    rows = [np.sort(r.choice(12, r.integers(2, 8), replace=False)) for _ in range(60)]
+    y = np.array([int(r.random() < 0.2 + 0.6 * (3 in x)) for x in rows])
+    ratio = r.normal(size=12)
+    w, b = quality._descend(rows, y, ratio, 1.0, 2000, 7)
+    z = np.zeros((60, 12))
+    for i, x in enumerate(rows):
+        z[i, x] = ratio[x] / np.sqrt(len(x))
+    sign, share = np.where(y == 1, 1, -1), len(y) / (2 * np.bincount(y))
+    cost = np.where(y == 1, share[1], share[0])
+    value = lambda v, c: 0.5 * (v @ v + c * c) + (cost * np.maximum(0, 1 - sign * (z @ v + c))).sum()
+    v = w / ratio
+    best = value(v, b)
+    for _ in range(3000):
+        size = 10.0 ** r.uniform(-4, -0.5)
+        assert value(v + size * r.normal(size=12), b + size * r.normal()) >= best - 2e-3 * best
+
+
+def test_quality_scores_by_hand(spark):
+    real, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.train(real, labels)
+    feats = quality.Features()
+    want = {}
+    for r in real.select("doc_id", "text").collect():
+        x = feats(r.text)
+        margin = sum(float(model["weights"][k]) for k in x.tolist()) / max(1, len(x)) ** 0.5 + model["bias"]
+        want[r.doc_id] = 1 / (1 + np.exp(-(model["slope"] * margin + model["offset"])))
+    got = {r.doc_id: r for r in quality.quality_scores(real, labels).collect()}
+    assert got.keys() == want.keys()
+    for i, p in want.items():
+        assert abs(got[i].score - p) < 1e-4 and got[i].predicted == (got[i].score >= 0.3)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_stages_keep_clashing_columns_nulls_and_repeated_rows(spark, empty):
+    """Every stage takes null and empty texts, repeated rows and columns named like its own, and leaves the columns alone."""
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, text, "a", 0.5, 1, "k"), (1, text, "a", 0.5, 1, "k"), (2, text, "b", 0.1, 0, "k"), (3, None, "c", None, None, None), (4, "", "d", 1.0, 1, "x"), (5, "other words " * 30, "e", 0.2, 0, "y"), (None, "no id", "f", 0.3, 1, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, predicted int, row string")
+    kept = exact_dedup.exact_dedup(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id or -1, r.score or -1) for r in kept.collect()) == [(-1, 0.3), (2, 0.1), (4, 1.0), (5, 0.2)]
+    near = jaccard_join.keep_one(kept)
+    assert near.columns == docs.columns and near.count() == 4
+    cut = passage_dedup.remove_passages(docs, 256)
+    assert cut.columns == docs.columns and cut.count() == 7
+    assert sorted((r.doc_id or -1, r.text or "", r.row) for r in cut.collect() if r.doc_id in (1, 2)) == [(1, "", "k"), (1, "", "k"), (2, "", "k")]
+    model = quality.fit(["good words here", "bad words there"], np.array([1, 0]))
+    passed = quality.accepted(docs, model)
+    assert passed.columns == docs.columns and {r.score for r in passed.collect()} <= {0.5, 0.1, None, 1.0, 0.2, 0.3}
+    assert packing.pack(docs).filter("doc_id = 3").first().length == 1
+    for stage in (exact_dedup.exact_dedup, jaccard_join.keep_one, passage_dedup.remove_passages):
+        assert stage(empty).count() == 0 and stage(empty).columns == empty.columns
+
+
+def test_topk_with_few_candidates(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (50, [0.5, 0.25]), (7, None)], "vec_id long, embedding array<float>")
+    assert {(r.query_id, r.rank, r.vec_id) for r in topk_search.top_five(df).collect()} == {(0, 1, 50), (50, 1, 0)}
+    with pytest.raises(ValueError, match="too large"):
+        topk_search.top_five(spark.createDataFrame([(0, [5e5]), (1, [1.0])], "vec_id long, embedding array<float>"))
