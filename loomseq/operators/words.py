@@ -223,3 +223,63 @@ def split_on_runs(seqs: DataFrame, least: int = 10, min_piece: int = 100) -> Dat
     j = gaps.join(seqs.select("oid", "seq"), "oid")
     ends = (F.col("pos") == 1) | (F.col("pos") + F.col("len") - 1 == F.length("seq"))
     return j.filter((F.col("len") >= min_piece) | ends).select("oid", "pos", "len", F.col("seq").substr(F.col("pos").cast("int"), F.col("len").cast("int")).alias("piece"))
+
+
+def entropy_track(seqs: DataFrame, window: int = 50, bits: float = 4.5, erode: int | None = None, chunk: int = 100_000) -> DataFrame:
+    """(oid, pos, len) where the hexamers that end in a window of letters have an entropy below bits: windows merged, then eroded by a third
+    of the window, 30 at most, where they don't reach an end of the sequence. A sequence shorter than the window is repeated up to it.
+    Other letters than ACGT count by their place. One pass over each piece of a sequence; counts are kept as the window moves."""
+    import numpy as np
+    import pandas as pd
+
+    table = np.zeros(256, np.int64)
+    table[[ord(c) for c in "CGT"]] = 1, 2, 3
+    known = np.isin(np.arange(256), [ord(c) for c in "ACGT"])
+
+    def run(parts):
+        weight = [0.0] + [c * float(np.log2(c)) for c in range(1, window + 1)]
+        most = (float(np.log2(window)) - bits) * window + 1e-9  # entropy is log2(window) - sum / window
+        for pdf in parts:
+            for oid, start, text, first in zip(pdf["oid"].tolist(), pdf["start"].tolist(), pdf["piece"].tolist(), pdf["first"].tolist(), strict=True):
+                b = np.frombuffer(text.encode(), np.uint8)
+                n = len(b)
+                b = np.resize(b, max(n, window)) if first else b
+                place = np.arange(len(b)) + start
+                letter = np.where(known[b], table[b], place % 3)
+                code = np.zeros(len(b), np.int64)
+                for k in range(6):
+                    code[k:] |= letter[: len(b) - k] << 2 * k
+                skip = 0 if first else 5  # letters before the piece, only for the first hexamers
+                codes, counts, total, low = code[skip:].tolist(), [0] * 4096, 0.0, []
+                for i, c in enumerate(codes):
+                    if i >= window:
+                        old = codes[i - window]
+                        total -= weight[counts[old]] - weight[counts[old] - 1]
+                        counts[old] -= 1
+                    total += weight[counts[c] + 1] - weight[counts[c]]
+                    counts[c] += 1
+                    if i >= window - 1 and total > most:
+                        low.append(i - window + 1)
+                if low:
+                    at = np.array(low)
+                    cut = np.flatnonzero(np.diff(at, prepend=at[0] - 2 * window) > window)
+                    lo, hi = at[cut], np.append(at[cut[1:] - 1], at[-1]) + window
+                    yield pd.DataFrame({"oid": oid, "pos": lo + start + skip + 1, "len": np.minimum(hi, n - skip) - lo})
+
+    at = F.explode(F.sequence(F.lit(0), F.greatest(F.length("seq") - window, F.lit(0)), F.lit(chunk)))
+    pieces = seqs.filter("length(seq) > 0").select("oid", "seq", at.alias("at"))
+    begin = F.greatest(F.col("at") - 5, F.lit(0))
+    pieces = pieces.select("oid", begin.cast("long").alias("start"), F.col("seq").substr(begin + 1, F.col("at") - begin + chunk + window - 1).alias("piece"), (F.col("at") == 0).alias("first"))
+    runs = intervals.merge(pieces.mapInPandas(run, "oid long, pos long, len long"), ["oid"]).join(seqs.select("oid", F.length("seq").alias("_n")), "oid")
+    by = min(window // 3, 30) if erode is None else erode
+    left = F.when((F.col("pos") > 1) & (F.col("len") > by), by).otherwise(0)
+    runs = runs.select("oid", (F.col("pos") + left).alias("pos"), (F.col("len") - left).alias("len"), "_n")
+    right = F.when((F.col("pos") + F.col("len") - 1 < F.col("_n")) & (F.col("len") > by), by).otherwise(0)
+    return runs.select("oid", "pos", (F.col("len") - right).alias("len"))
+
+
+def reported_low_complexity(narrow: DataFrame, wide: DataFrame, high: DataFrame, template: int = 56) -> DataFrame:
+    """What a report shows as low complexity: narrow runs joined within a template's length and longer than it, wide runs, and places of
+    words that occur too often."""
+    runs = intervals.merge(narrow, ["oid"], template).filter(F.col("len") > template)
+    return intervals.merge(runs.unionByName(wide).unionByName(high), ["oid"])

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..adapters import IV, bases, intervals, table
-from ..operators import screen, sketch
+from ..adapters import IV, QRY, bases, intervals, probes, table
+from ..operators import screen, sketch, words
 
 M = "% 18446744073709551616"
 LETTERS = sketch.DIGITS
@@ -28,6 +28,25 @@ SIGNED = f"""WITH {PROT}, {_hash('w', 'h', 'id')}, s AS (SELECT id, i AS slot, x
 sig AS (SELECT id, string_agg('{LETTERS}'[CAST(x % 64 AS INTEGER) + 1], '' ORDER BY slot) AS signature FROM l GROUP BY id)"""
 
 
+
+
+def _entropy(name: str, window: int, bits: float) -> str:
+    """CTEs for the entropy track of qry."""
+    by = min(window // 3, 30)
+    return f"""{name}a AS (SELECT oid, length(seq) AS n, unnest(range(0, greatest(length(seq), {window}))) AS i, seq FROM qry WHERE length(seq) > 0),
+{name}b AS (SELECT oid, n, i, CASE seq[i % n + 1] WHEN 'A' THEN 0 WHEN 'C' THEN 1 WHEN 'G' THEN 2 WHEN 'T' THEN 3 ELSE i % 3 END AS d FROM {name}a),
+{name}c AS (SELECT oid, n, i, d + 4 * coalesce(lag(d, 1) OVER w, 0) + 16 * coalesce(lag(d, 2) OVER w, 0) + 64 * coalesce(lag(d, 3) OVER w, 0)
+  + 256 * coalesce(lag(d, 4) OVER w, 0) + 1024 * coalesce(lag(d, 5) OVER w, 0) AS h FROM {name}b WINDOW w AS (PARTITION BY oid ORDER BY i)),
+{name}d AS (SELECT c.oid, c.n, c.i, unnest(range(c.i, c.i + {window})) AS j FROM {name}c c WHERE c.i + {window} <= greatest(c.n, {window})),
+{name}e AS (SELECT d.oid, d.n, d.i, c.h, count(*) AS k FROM {name}d d JOIN {name}c c ON c.oid = d.oid AND c.i = d.j GROUP BY ALL),
+{name}f AS (SELECT oid, n, i, sum(k * log2(k)) AS s FROM {name}e GROUP BY ALL HAVING s > (log2({window}) - {bits}) * {window} + 1e-9),
+{name}g AS (SELECT oid, n, i + 1 AS pos, least({window}, n - i) AS len, max(i + 1 + least({window}, n - i)) OVER (PARTITION BY oid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM {name}f),
+{name}h AS (SELECT *, sum(CASE WHEN mx IS NULL OR pos > mx THEN 1 ELSE 0 END) OVER (PARTITION BY oid ORDER BY pos) AS g FROM {name}g),
+{name}m AS (SELECT oid, n, min(pos) AS pos, max(pos + len) - min(pos) AS len FROM {name}h GROUP BY oid, n, g),
+{name}l AS (SELECT oid, n, pos + CASE WHEN pos > 1 AND len > {by} THEN {by} ELSE 0 END AS pos, len - CASE WHEN pos > 1 AND len > {by} THEN {by} ELSE 0 END AS len FROM {name}m),
+{name} AS (SELECT oid, pos, len - CASE WHEN pos + len - 1 < n AND len > {by} THEN {by} ELSE 0 END AS len FROM {name}l)"""
+
+
 def _proteins(s, d, sets: int = 1):
     """Letters of passages as proteins; passage i belongs to so many neighbouring sets of eight."""
     t = table(s, d, "benchmark").select("item_id", F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"))
@@ -110,3 +129,16 @@ def register(query) -> None:
     query("hot_windows", HOT)(_hot)
     query("augmented_seeds", f"WITH {SEG}, c AS (SELECT seq_id, count(*) AS n FROM seg GROUP BY 1), l AS (SELECT min(n) AS m FROM (SELECT n FROM c ORDER BY n DESC LIMIT 20)) SELECT id FROM seg WHERE len > 60 OR seq_id IN (SELECT seq_id FROM c, l WHERE n > m)")(
         lambda s, d: screen.augment(_segments(s, d).filter("len > 60"), _segments(s, d), "seq_id").select("id"))
+    narrow, wide = (50, 5.42), (300, 7.45)
+    query("entropy_narrow", f"WITH {QRY}, {_entropy('x', *narrow)} SELECT * FROM x")(lambda s, d: words.entropy_track(probes(s, d), *narrow))
+    query("entropy_wide", f"WITH {QRY}, {_entropy('x', *wide)} SELECT * FROM x")(lambda s, d: words.entropy_track(probes(s, d), *wide))
+    both = f"""WITH {QRY}, {_entropy('x', *narrow)}, {_entropy('y', *wide)}, hi AS (SELECT oid, 1 + oid % 50 AS pos, 20 AS len FROM qry),
+a AS (SELECT *, max(pos + len) OVER (PARTITION BY oid ORDER BY pos, len ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM x WHERE len > 0),
+b AS (SELECT *, sum(CASE WHEN mx IS NULL OR pos > mx + 56 THEN 1 ELSE 0 END) OVER (PARTITION BY oid ORDER BY pos, len) AS g FROM a),
+c AS (SELECT oid, min(pos) AS pos, max(pos + len) - min(pos) AS len FROM b GROUP BY oid, g HAVING max(pos + len) - min(pos) > 56),
+e AS (SELECT * FROM c UNION ALL SELECT * FROM y UNION ALL SELECT * FROM hi),
+f AS (SELECT *, max(pos + len) OVER (PARTITION BY oid ORDER BY pos, len ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM e WHERE len > 0),
+h AS (SELECT *, sum(CASE WHEN mx IS NULL OR pos > mx THEN 1 ELSE 0 END) OVER (PARTITION BY oid ORDER BY pos, len) AS g FROM f)
+SELECT oid, min(pos) AS pos, max(pos + len) - min(pos) AS len FROM h GROUP BY oid, g"""
+    high = lambda s, d: probes(s, d).select("oid", (1 + F.col("oid") % 50).cast("long").alias("pos"), F.lit(20).cast("long").alias("len"))
+    query("low_complexity_report", both)(lambda s, d: words.reported_low_complexity(words.entropy_track(probes(s, d), *narrow), words.entropy_track(probes(s, d), *wide), high(s, d)))

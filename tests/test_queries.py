@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from loomseq.operators import classify, screen, sketch
+from loomseq.operators import classify, screen, sketch, words
 from loomseq.plans.queries import SQL, Q
 
 from test_base import SF, rows
@@ -14,7 +14,7 @@ from test_base import SF, rows
 NAMES = ["classify_labels", "classify_rows", "select_divs", "adjust_divs", "division_kinds", "record_positions", "fasta_scan", "tsv_scan", "taxa_scan",
          "locations_scan", "metaline_round_trip", "report_rows", "report_scan", "classified_rows", "actions_scan", "subject_set", "masked_sequences",
          "stored_index", "manifest_of_files", "adapt_stage", "map_groups_if", "counter", "normal_ids", "escaped_tildes", "strides", "reduced_proteins",
-         "stream_running_totals", "stream_tee", "in_scope", "repeat_track_union", "indexable_pieces", "repeat_windows", "augmented_seeds"]
+         "stream_running_totals", "stream_tee", "in_scope", "repeat_track_union", "indexable_pieces", "repeat_windows", "augmented_seeds", "entropy_narrow", "entropy_wide", "low_complexity_report"]
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +82,14 @@ def test_bottom_sketch_keeps_the_least(spark):
     df = spark.createDataFrame([(1, int(x)) for x in h], "id long, h long")
     got = sorted(np.uint64(r.h & (1 << 64) - 1) for r in sketch.bottom_sketch(df, 40, 4).collect())
     assert got == sorted(h.view(np.uint64))[:40]
+
+
+def test_entropy_track_is_the_same_in_pieces(spark):
+    rng = np.random.default_rng(2)
+    letters = lambda n: "".join(rng.choice(list("ACGTN"), n, p=[0.24, 0.24, 0.24, 0.24, 0.04]))
+    seqs = [(1, letters(500) + "AC" * 90 + letters(300) + "A" * 120), (2, "ACG"), (3, ""), (4, "AT" * 400), (5, letters(49))]
+    df = spark.createDataFrame(seqs, "oid long, seq string")
+    one = sorted(map(tuple, words.entropy_track(df).collect()))
+    assert one == sorted(map(tuple, words.entropy_track(df, chunk=60).collect()))
+    assert {o for o, _, _ in one} == {1, 2, 4} and (4, 1, 800) in one
+    assert words.entropy_track(df.filter("oid = 3")).count() == 0
