@@ -79,3 +79,18 @@ def augment(kept: DataFrame, seeds: DataFrame, subject: str, top: int = 20) -> D
     least = counts.orderBy(F.desc("_n")).limit(top).agg(F.min("_n").alias("_least"))
     rich = counts.crossJoin(F.broadcast(least)).filter("_n > _least").select(subject)
     return kept.unionByName(seeds.join(rich, subject, "left_semi")).distinct()
+
+
+def banded_neighbours(segments: DataFrame, key: list[str], ident: list[str], diag: int = 5000, anti: int = 50_000) -> DataFrame:
+    """Segments (q, s, ...) that have another one of their key within diag diagonals and anti antidiagonals, exactly. Two in one cell of
+    that size are neighbours; only segments that are alone in their cell are compared with those of the cells around it."""
+    d, a = F.col("q") - F.col("s"), F.col("q") + F.col("s")
+    at = segments.withColumns({"_d": d, "_a": a, "_x": F.floor(d / diag), "_y": F.floor(a / anti)})
+    sizes = at.groupBy(*key, "_x", "_y").agg(F.count("*").alias("_n"))
+    at = at.join(sizes, [*key, "_x", "_y"])
+    around = F.array(*(F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j))
+    alone = at.filter("_n = 1").select(*key, *ident, "_d", "_a", "_x", "_y", F.explode(around).alias("c"))
+    alone = alone.select(*key, *ident, F.col("_d").alias("_e"), F.col("_a").alias("_b"), (F.col("_x") + F.col("c.i")).alias("_x"), (F.col("_y") + F.col("c.j")).alias("_y"))
+    near = (F.abs(F.col("_d") - F.col("_e")) <= diag) & (F.abs(F.col("_a") - F.col("_b")) <= anti)
+    found = alone.join(at.select(*key, "_x", "_y", "_d", "_a"), [*key, "_x", "_y"]).filter(near).select(*ident).distinct()
+    return at.filter("_n > 1").select(*segments.columns).unionByName(segments.join(found, ident, "left_semi"))

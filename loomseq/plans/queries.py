@@ -147,7 +147,10 @@ SELECT {SEED}, CASE WHEN n <= 8 THEN 2 ELSE 3 END AS tier FROM q2 JOIN i3 ON q2.
 query("occurrence_cap", f"WITH {IDX}, {QW}, {SEEDS}, h AS (SELECT q_oid, q_pos, count(*) AS n FROM seeds GROUP BY ALL), c AS (SELECT q_oid, floor(greatest(20.0, 4 * (exp(avg(ln(1 + n))) - 1))) AS cap FROM h GROUP BY ALL) SELECT seeds.* FROM seeds JOIN h ON seeds.q_oid = h.q_oid AND seeds.q_pos = h.q_pos JOIN c ON h.q_oid = c.q_oid WHERE n < cap")(lambda s, d: words.occurrence_cap(seeds(s, d)))
 SEG = f"{SEEDS}, c0 AS (SELECT q_oid, s_oid, (q_pos < 0) <> (s_pos < 0) AS minus, q_pos AS q, s_pos AS s, s_pos - q_pos AS dg, lag(q_pos) OVER (PARTITION BY q_oid, s_oid, (q_pos < 0) <> (s_pos < 0), s_pos - q_pos ORDER BY q_pos) AS p FROM seeds), c1 AS (SELECT *, sum(CASE WHEN p IS NULL OR q > p + 156 THEN 1 ELSE 0 END) OVER (PARTITION BY q_oid, s_oid, minus, dg ORDER BY q) AS g FROM c0), seg AS (SELECT q_oid, s_oid, minus, min(q) AS q, min(s) AS s, max(q) + 56 - min(q) AS len FROM c1 GROUP BY q_oid, s_oid, minus, dg, g)"
 query("seed_coalesce", f"WITH {IDX}, {QW}, {SEG} SELECT * FROM seg")(lambda s, d: words.coalesce(seeds(s, d)))
-query("near_neighbours")(lambda s, d: words.near_neighbours(words.coalesce(seeds(s, d))))
+NEAR = f"""WITH {IDX}, {QW}, {SEG}, n AS (SELECT *, row_number() OVER (PARTITION BY q_oid, s_oid ORDER BY s, len, q) AS rn FROM seg)
+SELECT q_oid, s_oid, minus, q, s, len FROM n a WHERE len > 56 OR EXISTS (SELECT 1 FROM n b WHERE b.q_oid = a.q_oid AND b.s_oid = a.s_oid AND b.rn <> a.rn
+ AND abs(b.rn - a.rn) <= 15 AND abs((b.q - b.s) - (a.q - a.s)) <= 5000 AND abs((b.q + b.s) - (a.q + a.s)) <= 50000)"""
+query("near_neighbours", NEAR)(lambda s, d: words.near_neighbours(words.coalesce(seeds(s, d))).select("q_oid", "s_oid", "minus", "q", "s", "len"))
 HITS = "h AS (SELECT q_oid AS oid, abs(q_pos) AS pos, count(*) AS n FROM seeds GROUP BY ALL)"
 query("hi_occ", f"WITH {IDX}, {QW}, {SEEDS}, {HITS}, t AS (SELECT oid, pos, sum(n) OVER (PARTITION BY oid ORDER BY pos RANGE BETWEEN 19 PRECEDING AND CURRENT ROW) AS s FROM h), k AS (SELECT oid, pos, 1 AS len FROM t WHERE s > 3), {merged('k', 'oid')} SELECT * FROM m")(lambda s, d: words.high_occurrence(seeds(s, d).groupBy(F.col("q_oid").alias("oid"), F.abs("q_pos").alias("pos")).agg(F.count("*").alias("n")), most=3))
 query("low_complexity", f"WITH {QRY}, p AS (SELECT oid, seq, unnest(range(1, length(seq) - 53)) AS pos FROM qry WHERE length(seq) >= 55), x AS (SELECT oid, pos, substring(seq, pos + k, 6) AS w FROM (SELECT oid, seq, pos, unnest(range(0, 50)) AS k FROM p)), c AS (SELECT oid, pos, w, count(*) / 50.0 AS p FROM x GROUP BY ALL), e AS (SELECT oid, pos, sum(-p * log2(p)) AS h FROM c GROUP BY ALL), k AS (SELECT oid, pos, 55 AS len FROM e WHERE h < 5.2), {merged('k', 'oid')} SELECT * FROM m")(lambda s, d: words.low_complexity(probes(s, d), bits=5.2))

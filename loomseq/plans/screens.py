@@ -142,3 +142,7 @@ h AS (SELECT *, sum(CASE WHEN mx IS NULL OR pos > mx THEN 1 ELSE 0 END) OVER (PA
 SELECT oid, min(pos) AS pos, max(pos + len) - min(pos) AS len FROM h GROUP BY oid, g"""
     high = lambda s, d: probes(s, d).select("oid", (1 + F.col("oid") % 50).cast("long").alias("pos"), F.lit(20).cast("long").alias("len"))
     query("low_complexity_report", both)(lambda s, d: words.reported_low_complexity(words.entropy_track(probes(s, d), *narrow), words.entropy_track(probes(s, d), *wide), high(s, d)))
+    band = f"""WITH {SEG}, b AS (SELECT id, div, seq_id, q - id % 2000 AS d, q + id % 2000 AS a FROM seg)
+SELECT id FROM b x WHERE EXISTS (SELECT 1 FROM b y WHERE x.div = y.div AND x.seq_id = y.seq_id AND x.id <> y.id AND abs(x.d - y.d) <= 60 AND abs(x.a - y.a) <= 300)"""
+    query("banded_neighbours", band)(
+        lambda s, d: screen.banded_neighbours(_segments(s, d).withColumn("s", F.col("id") % 2000).drop("len"), ["div", "seq_id"], ["id"], 60, 300).select("id"))
