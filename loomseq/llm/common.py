@@ -55,8 +55,13 @@ def written(df: DataFrame, name: str, tag: str = "") -> DataFrame:
 def release(spark: SparkSession, tag: str) -> None:
     """Deletes the tables written under a tag; call it only when nothing reads them any more."""
     for path in _written.pop(tag, []):
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def free(spark: SparkSession) -> None:
