@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir); docs is what the stage before returned, written as Parquet and read again. All but
 the last return the columns of documents.
+
+Defined results, for every stage: a null text counts as empty (and stays null); rows with a null doc_id are documents like others; of
+repeated rows, exact dedup leaves one; texts of any length are read whole; extra columns stay as they are, also where their names
+are those of a stage's own results; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 import uuid
 
 from loomseq.llm import exact_dedup, jaccard_join, packing, passage_dedup, quality
-from loomseq.llm.common import release, table, work_dir
+from loomseq.llm.common import discard, release, table, work_dir
 
 TAG = "pipeline"
 #: Shortest passage, in bytes, that goes when it repeats: about 40 words, so that passages of 50 short words are among them.
@@ -52,11 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             path = f"{work_dir(spark)}/stage{k}-{uuid.uuid4().hex[:12]}"
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            if before:  # nothing reads the stage before any more
+                discard(spark, before)
+            before = path
     return docs
