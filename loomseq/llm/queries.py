@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_text, jaccard_join, language_model, merkle, packing, passage_dedup, quality, token_counts, topk_search, vector_codes
+from . import bpe, exact_dedup, html_text, jaccard_join, language_model, merkle, packing, passage_dedup, quality, token_counts, topk_search, url_filter, vector_codes
 from .common import table
 
 
@@ -19,10 +19,11 @@ def queries():
         "op8_topk_search": lambda s, d: topk_search.top_five(table(s, d, "embeddings")),
         "op9_passage_dedup": lambda s, d: passage_dedup.passage_digest(docs(s, d)),
         "op10_quality": lambda s, d: quality.quality_scores(docs(s, d), table(s, d, "labels")),
+        "op11_url_filter": lambda s, d: url_filter.judge(table(s, d, "pages")),
         "op12_merkle_manifest": lambda s, d: merkle.document_manifest(docs(s, d)),
         "op13_vector_codes": lambda s, d: vector_codes.vector_codes(table(s, d, "embeddings")),
     }
 
 
 def oracle_sql():
-    return {"op6_exact_dedup": exact_dedup.ORACLE, "op8_topk_search": topk_search.ORACLE, "op12_merkle_manifest": merkle.ORACLE, "op13_vector_codes": vector_codes.oracle()}
+    return {"op6_exact_dedup": exact_dedup.ORACLE, "op8_topk_search": topk_search.ORACLE, "op11_url_filter": url_filter.oracle(), "op12_merkle_manifest": merkle.ORACLE, "op13_vector_codes": vector_codes.oracle()}
