@@ -13,10 +13,12 @@ a slack for rounding; scores are exact integers, and ties go to the smaller id.
 Trees are built once and stored by shard. Queries are dealt out in blocks; every block meets every shard, one shard in
 memory at a time, and the k best of each shard are merged.
 
-Defined results: vectors that are null, empty, of another length than the commonest one, or hold null or non-finite components
-take no part; a squared norm of 2^53 or more is an error (scores are exact below it); where a query's id repeats, its least vector is
-the query; repeated rows are candidates of their own except that rows with the query's own id are never its results;
-with fewer than k candidates all are returned; extra columns are ignored; an empty table gives an empty result.
+Defined results: vectors that are null, empty, or hold null or non-finite components take no part; vectors of each length are
+searched on their own, as there is no product across lengths; where squared norms reach 2^53, products are not whole in floating point, so
+vectors of that length are compared in Python's integers, all of them, and a score that a long can't hold is null (its rank is right); where
+a query's id repeats, the least of its vectors that take part is the query; repeated rows are candidates of their own except that rows with
+the query's own id are never its results; with fewer than k candidates all are returned; extra columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -33,15 +35,41 @@ from .common import groups, written
 
 PAGE, SHARD_ROWS, BLOCK_QUERIES = 192, 8192, 1024
 SLACK = 1e-3
+NINES = str.maketrans("0123456789", "9876543210")
 
 
-def quantised(vectors: DataFrame) -> DataFrame:
-    """(vec_id, q array<int>, norm long) of the vectors that take part."""
+def taking_part(vectors: DataFrame) -> DataFrame:
+    """(vec_id, x array<double>, dim) of the vectors that take part."""
     x = F.col("embedding")
     fit = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
     ok = vectors.filter(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0)).filter(fit)
-    q = ok.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v.cast("double") * 256).cast("long")).alias("q"))
-    return q.withColumn("norm", F.aggregate("q", F.lit(0).cast("long"), lambda a, v: a + v * v))
+    return ok.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("x"), F.size(x).alias("dim"))
+
+
+def whole(x: np.ndarray, exact: bool) -> np.ndarray:
+    """floor(256 x) as whole 64-bit floats, or as Python's integers."""
+    if not exact:
+        return np.floor(x * 256)
+    return np.array([int(v) * 256 if abs(v) > 2.0**60 else int(np.floor(v * 256)) for v in x.ravel().tolist()], object).reshape(x.shape)
+
+
+def _sortable(score: int) -> str:
+    """A text that sorts as the number does, whatever its length."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):04d}{digits}"
+    return f"0{9999 - len(digits):04d}{digits.translate(NINES)}"
+
+
+class Scan:
+    """Every product of a shard in Python's integers, where floating point can't hold them."""
+
+    def __init__(self, ids: np.ndarray, points: np.ndarray):
+        self.ids, self.rows = ids.tolist(), points
+
+    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+        score = (self.rows * query).sum(1).tolist()
+        return sorted(((s, i) for s, i in zip(score, self.ids, strict=True) if i != own), key=lambda x: (-x[0], x[1]))[:k]
 
 
 class Tree:
@@ -49,7 +77,7 @@ class Tree:
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, norms: np.ndarray, top: float, page: int = PAGE):
         lift = np.sqrt(np.maximum(top - norms, 0.0))
-        self.ids, self.rows = ids, points.astype(np.float64)
+        self.ids, self.rows, self.top = ids, points, top
         self.points = np.concatenate([self.rows, lift[:, None]], 1)
         self.pages: list[tuple] = []
         self.page = page
@@ -84,11 +112,10 @@ class Tree:
         cut = len(rows) * left // parts
         return self._parts(rows[order[:cut]], left) + self._parts(rows[order[cut:]], parts - left)
 
-    def search(self, query: np.ndarray, own: int, k: int, top: float) -> list[tuple[int, int]]:
+    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """The k best (score, vec_id), best first."""
-        query = query.astype(np.float64)
         q = np.append(query, 0.0)
-        whole = float((query * query).sum()) + top  # |q|^2 + M
+        whole = float((query * query).sum()) + self.top  # |q|^2 + M
         best: list[tuple[int, int]] = []  # heap of (score, -vec_id), the worst first
         limit = np.inf
         queue: list[tuple[float, int, float]] = [(0.0, self.root, -1.0)]
@@ -130,50 +157,64 @@ class Tree:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tag: str = "") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of each query row. Both tables: vec_id, embedding."""
-    base, asked = quantised(vectors), quantised(queries)
-    base = base.withColumn("dim", F.size("q"))
-    stats = base.groupBy("dim").agg(F.count("*").alias("rows"), F.max("norm").alias("top")).orderBy(F.desc("rows"), "dim").first()
+    return _search(taking_part(vectors), taking_part(queries), k, tag)
+
+
+def _search(base: DataFrame, asked: DataFrame, k: int, tag: str) -> DataFrame:
+    spark = base.sparkSession
+    squares = F.aggregate("x", F.lit(0.0), lambda a, v: a + F.floor(v * 256).cast("double") * F.floor(v * 256).cast("double"))
+    large = F.exists("x", lambda v: F.abs(v) > 2.0**30)  # floor would not fit a long, and its square is beyond the bound anyway
+    norm = F.when(large, float("inf")).otherwise(squares)
+    stats = base.groupBy("dim").agg(F.count("*").alias("rows"), F.max(norm).alias("top")).orderBy("dim").collect()
+    wanted = {r.dim: (r.n, r.top) for r in asked.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("top")).collect()}
     schema = "query_id long, rank int, vec_id long, score long"
-    if stats is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    dim, top = stats.dim, float(stats.top)
-    if stats.top >= 1 << 53:
-        raise ValueError("components are too large for exact scores")
-    n_queries = asked.filter(F.size("q") == dim).count()
-    shards, blocks = max(1, -(-stats.rows // SHARD_ROWS)), max(1, -(-n_queries // BLOCK_QUERIES))
+    first, lengths, tops = 0, [], {}
+    for r in stats:
+        if r.dim in wanted:
+            shards, blocks = -(-r.rows // SHARD_ROWS), -(-wanted[r.dim][0] // BLOCK_QUERIES)
+            lengths.append((r.dim, first, shards, blocks))
+            tops[r.dim] = float(r.top) if max(r.top, wanted[r.dim][1]) < 1 << 53 else None
+            first += shards
+    if not lengths:
+        return spark.createDataFrame([], schema)
+    plan = spark.createDataFrame(lengths, "dim int, first int, shards int, blocks int")  # one row for each length of vectors
 
     def build(batches):
-        for (s,), t in groups(batches, ["shard"]):
-            x = t.column("q").combine_chunks().flatten().to_numpy().reshape(-1, dim)
-            tree = Tree(t.column("vec_id").to_numpy(), x, t.column("norm").to_numpy().astype(np.float64), top)
-            yield pa.record_batch([pa.array([int(s)], pa.int32()), pa.array([pickle.dumps(tree, 5)], pa.binary())], names=["shard", "tree"])
-
-    dealt = base.filter(F.col("dim") == dim).select(F.pmod(F.xxhash64("vec_id", "q"), F.lit(shards)).cast("int").alias("shard"), "vec_id", "q", "norm")
-    trees = written(dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(build, "shard int, tree binary"), "trees", tag)
-    block = asked.filter(F.size("q") == dim).select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "q")
-    meet = block.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(None).cast("binary").alias("tree"))
-    here = trees.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<long>").alias("q"), "shard", "tree")
+        for (s, dim), t in groups(batches, ["shard", "dim"]):
+            top, ids = tops[dim], t.column("vec_id").to_numpy()
+            x = whole(t.column("x").combine_chunks().flatten().to_numpy().reshape(-1, dim), top is None)
+            tree = Scan(ids, x) if top is None else Tree(ids, x, (x * x).sum(1), top)
+            yield pa.record_batch([pa.array([s], pa.int32()), pa.array([dim], pa.int32()), pa.array([pickle.dumps(tree, 5)], pa.binary())], names=["shard", "dim", "tree"])
+
+    dealt = base.join(F.broadcast(plan), "dim").select((F.col("first") + F.pmod(F.xxhash64("vec_id", "x"), F.col("shards"))).cast("int").alias("shard"), "dim", "vec_id", "x")
+    trees = written(dealt.repartition(first, "shard").sortWithinPartitions("shard").mapInArrow(build, "shard int, dim int, tree binary"), "trees", tag)
+    block = asked.join(F.broadcast(plan), "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    meet = block.select("dim", "block", "vec_id", "x", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("shards") - 1)).alias("shard"), F.lit(None).cast("binary").alias("tree"))
+    here = trees.join(F.broadcast(plan), "dim").select("dim", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<double>").alias("x"), "shard", "tree")
 
     def ask(batches):
-        for _, t in groups(batches, ["shard", "block"]):
+        for (_, _, dim), t in groups(batches, ["shard", "block", "dim"]):
             trees = [x for x in t.column("tree").to_pylist() if x is not None]
             mine = t.filter(pa.compute.is_valid(t.column("vec_id")))
             if not trees or not mine.num_rows:
                 continue
             tree, out = pickle.loads(trees[0]), []
-            q = mine.column("q").combine_chunks().flatten().to_numpy().reshape(-1, dim)
+            q = whole(mine.column("x").combine_chunks().flatten().to_numpy().reshape(-1, dim), tops[dim] is None)
             for own, x in zip(mine.column("vec_id").to_pylist(), q, strict=True):
-                out += [(own, i, s) for s, i in tree.search(x, own, k, top)]
-            yield pa.record_batch([pa.array([o[c] for o in out], pa.int64()) for c in range(3)], names=["query_id", "vec_id", "score"])
+                out += [(own, i, s) for s, i in tree.search(x, own, k)]
+            kept = [o[2] if abs(o[2]) < 1 << 63 else None for o in out]
+            yield pa.record_batch([*(pa.array(v, pa.int64()) for v in ([o[0] for o in out], [o[1] for o in out], kept)), pa.array([_sortable(o[2]) for o in out], pa.string())], names=["query_id", "vec_id", "score", "order"])
 
-    met = meet.unionByName(here).repartition(shards * blocks, "shard", "block").sortWithinPartitions("shard", "block")
-    found = met.mapInArrow(ask, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    met = meet.unionByName(here).repartition(sum(s * b for _, _, s, b in lengths), "shard", "block").sortWithinPartitions("shard", "block")
+    found = met.mapInArrow(ask, "query_id long, vec_id long, score long, order string")
+    best = Window.partitionBy("query_id").orderBy(F.desc("order"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def top_five(vectors: DataFrame) -> DataFrame:
-    return search(vectors, vectors.filter("vec_id % 50 = 0").groupBy("vec_id").agg(F.min("embedding").alias("embedding")), 5)
+    fit = taking_part(vectors)
+    asked = fit.filter("vec_id % 50 = 0").groupBy("vec_id").agg(F.min("x").alias("x")).withColumn("dim", F.size("x"))
+    return _search(fit, asked, 5, "topk")
 
 
 ORACLE = """
