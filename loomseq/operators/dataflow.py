@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..adapters import settled
+
 
 def _w(key, order):
     return Window.partitionBy(*key).orderBy(*order)
@@ -13,10 +15,11 @@ def _w(key, order):
 
 def ordinal(df: DataFrame, order: list, name: str = "ord") -> DataFrame:
     """Rows numbered from 1 in a global order: range partitions are numbered apart, and each is shifted by the rows of those
-    before it. Only one row for each partition meets in one place."""
+    before it. Only one row for each partition meets in one place. Ranges come from a sample that differs from run to run, so the
+    partitions are settled before they are counted."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    d = d.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    d = settled(d.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
     ahead = d.groupBy("_p").agg(F.count("*").alias("_n"))
     ahead = ahead.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     return d.join(ahead, "_p").withColumn(name, (F.col("_b") + F.col("_i") + 1).cast("long")).drop("_p", "_i", "_b")
