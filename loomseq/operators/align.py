@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..adapters import settled
-from . import rounds, words
+from . import intervals, rounds, screen, words
+from . import extension as ungapped
 
 SEGMENT = "q_oid long, s_oid long, minus boolean, q long, s long, len long"
 COLUMNS = ["q_oid", "s_oid", "minus", "q", "s", "len"]
@@ -200,24 +201,31 @@ def query_words(query: DataFrame, index: DataFrame, repeats: DataFrame | None =
     count them in are given."""
     w = words.spaced_words(query)
     w = w.withColumn("at", F.when(F.col("pos") < 0, -F.col("pos") - 55).otherwise(F.col("pos")))
-    tracks = [words.low_complexity_mask(query), words.high_occurrence_mask(w, index)]
+    low = intervals.merge(words.entropy_track(query), ["oid"], 56).filter(F.col("len") > 56)
+    tracks = [low, words.high_occurrence_mask(w, index)]
     if repeats is not None:
         tracks.append(words.transposon_mask(query, repeats))
     return words.masked(w, tracks).drop("at")
 
 
+def accompanied(segments: DataFrame) -> DataFrame:
+    """Segments of several seeds, and those with a neighbour on the same subject."""
+    seg = settled(segments)
+    return seg.filter(F.col("len") > 56).unionByName(screen.banded_neighbours(seg, ["q_oid", "s_oid"], COLUMNS).select(*seg.columns)).distinct()
+
+
 def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 300, repeats: DataFrame | None = None) -> DataFrame:
     """Seeds outside masks, occurrence cap, coalescing, neighbours, shadows, extension, chain; a second round of finer seeds around what was
     found; extension with and without gaps, chain, and scores."""
     index = words.build_index(subject, stride=stride)
     seeds = words.occurrence_cap(words.seed_join(query_words(query, index, repeats), index))
-    seg = drop_stacks(drop_shadows(words.near_neighbours(words.coalesce(seeds))))
+    seg = drop_stacks(drop_shadows(accompanied(words.coalesce(seeds))))
     taxon = subject.select(F.col("oid").alias("s_oid"), "tax_id")
     by = ["q_oid", "tax_id"]
-    first = settled(best_chain(extend(seg, query, subject).join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by).filter("len > 56"))
+    first = settled(best_chain(ungapped.extension_rounds(seg, query, subject).join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by).filter("len > 56"))
     more = rounds.second_round(first, query.filter(F.length("seq") >= short), subject)
     more = best_chain(more, ["q_oid", "s_oid"]).select(*COLUMNS)
-    seg = gapped(extend(first.select(*COLUMNS).unionByName(more), query, subject), query, subject)
+    seg = gapped(ungapped.extension_rounds(first.select(*COLUMNS).unionByName(more), query, subject), query, subject)
     seg = settled(best_chain(seg.join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by))
     seg = seg.join(query.select(F.col("oid").alias("q_oid"), F.length("seq").alias("q_len")), "q_oid")
     seg = drop_crud(seg, [*by, "q_len"], F.col("q_len")).select(*COLUMNS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..adapters import IV, NODES, QRY, SBJ, intervals, nodes, probes, subjects, table
 from ..functions import scalars as x
 from ..operators import actions as act
-from ..operators import align, classify, dataflow as df_, hits, intervals as iv, rounds, select, sketch, taxify, words
+from ..operators import align, classify, dataflow as df_, extension, hits, intervals as iv, rounds, select, sketch, taxify, words
 from ..sources import sinks
 from ..streaming import events as ev
 
@@ -181,6 +181,7 @@ query("reverse_complement", f"WITH {QRY} SELECT oid, reverse({COMP % 'seq'}) AS
 query("as_pct", "SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity / 50 * 100 + 0.5) AS BIGINT) AS pct FROM lineitem")(lambda s, d: li(s, d).select("l_orderkey", "l_linenumber", x.as_pct(F.col("l_quantity"), F.lit(50)).alias("pct")))
 query("checksums", "SELECT item_id, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256 FROM benchmark")(lambda s, d: table(s, d, "benchmark").select("item_id", x.checksums(F.col("text").cast("binary")).alias("c")).select("item_id", "c.md5", "c.sha1", "c.sha256"))
 query("align")(lambda s, d: align.align(probes(s, d), subjects(s, d)))
+query("extension_rounds")(lambda s, d: extension.extension_rounds(words.coalesce(seeds(s, d)), probes(s, d), subjects(s, d)))
 query("best_chain")(lambda s, d: align.best_chain(words.coalesce(seeds(s, d)), ["q_oid"]))
 query("drop_shadows")(lambda s, d: align.drop_shadows(words.coalesce(seeds(s, d))))
 query("drop_stacks", f"WITH {IDX}, {QW}, {SEG} SELECT * FROM seg WINDOW w AS (PARTITION BY q_oid, s_oid, s, len) QUALIFY NOT ((count(*) OVER w >= 32 AND len <= 110) OR (count(*) OVER w >= 64 AND len <= 150))")(lambda s, d: align.drop_stacks(words.coalesce(seeds(s, d))))
