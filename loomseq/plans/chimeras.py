@@ -29,8 +29,9 @@ def _minus(a: str, b: str, out: str) -> str:
 {out} AS (SELECT {a}.q_id, greatest(pos, g) AS pos, least(pos + len, h) - greatest(pos, g) AS len FROM {a} JOIN {out}_g ON {a}.q_id = {out}_g.q_id AND pos < h AND g < pos + len)"""
 
 
-def sql() -> str:
-    return f"""WITH RECURSIVE {CN}, {_merged('cn', 'q_id, div', 'tk')}, {_merged('cn', 'q_id', 'al')}, {_merged('rq', 'q_id', 'rp')},
+def ctes() -> str:
+    """From cn (matches), wq (whole queries) and rq (repeats) to ch, the chimeric intervals, and bt, what lies between."""
+    return f"""{_merged('cn', 'q_id, div', 'tk')}, {_merged('cn', 'q_id', 'al')}, {_merged('rq', 'q_id', 'rp')},
 sz AS (SELECT q_id, div, sum(len) AS n, div LIKE 'anml%' AS prim FROM tk GROUP BY q_id, div),
 tp AS (SELECT *, first_value(div) OVER w AS top, first_value(prim) OVER w AS top_prim FROM sz WINDOW w AS (PARTITION BY q_id ORDER BY n DESC, div)),
 us AS (SELECT tk.q_id, pos, len FROM tk JOIN tp ON tp.q_id = tk.q_id AND tp.div = tk.div WHERE tp.div = top OR top_prim AND prim), {_merged('us', 'q_id', 'pm')},
@@ -49,8 +50,7 @@ jn AS (SELECT q_id, k, pos, len, pos AS from_ FROM od WHERE k = 1
 jl AS (SELECT q_id, pos, max(len) AS len FROM jn GROUP BY q_id, pos),
 ex AS (SELECT jl.q_id, CASE WHEN jl.pos = min(jl.pos) OVER v AND jl.pos - 1 < 500 THEN 1 ELSE jl.pos END AS a, CASE WHEN jl.pos = max(jl.pos) OVER v AND wq.len + 1 - jl.pos - jl.len < 500 THEN wq.len + 1 ELSE jl.pos + jl.len END AS b
   FROM jl JOIN wq ON wq.q_id = jl.q_id WINDOW v AS (PARTITION BY jl.q_id)),
-ch AS (SELECT q_id, a AS pos, b - a AS len FROM ex), {_minus('wq', 'ch', 'bt')}
-SELECT q_id, pos, len, true AS chimeric FROM ch UNION ALL SELECT q_id, pos, len, false FROM bt WHERE len > 0"""
+ch AS (SELECT q_id, a AS pos, b - a AS len FROM ex), {_minus('wq', 'ch', 'bt')}"""
 
 
 def frames(s, d):
@@ -65,4 +65,4 @@ def frames(s, d):
 
 
 def register(query) -> None:
-    query("div_intervals", sql())(lambda s, d: chimeric.div_intervals(*frames(s, d)))
+    query("div_intervals", f"WITH RECURSIVE {CN}, {ctes()} SELECT q_id, pos, len, true AS chimeric FROM ch UNION ALL SELECT q_id, pos, len, false FROM bt WHERE len > 0")(lambda s, d: chimeric.div_intervals(*frames(s, d)))
