@@ -8,11 +8,23 @@ from pyspark.sql import functions as F
 
 # Names of divisions and of classes.
 VERTEBRATES = ["mammals", "fishes", "reptiles", "amphibians", "rodents", "birds", "vertebrates", "primates", "marsupials"]
-WELL_KNOWN = {
-    "prok": ["firmicutes", "high GC Gram+", "g-proteobacteria", "a-proteobacteria", "CFB group bacteria", "b-proteobacteria", "cyanobacteria",
-             "d-proteobacteria", "proteobacteria", "actinobacteria", "mycoplasmas", "spirochetes"],
-    "fung": ["ascomycetes", "basidiomycetes", "budding yeasts"],
-}
+WELL_KNOWN = [
+    "prok:firmicutes",
+    "prok:high GC Gram+",
+    "prok:g-proteobacteria",
+    "prok:a-proteobacteria",
+    "prok:CFB group bacteria",
+    "fung:ascomycetes",
+    "prok:b-proteobacteria",
+    "fung:basidiomycetes",
+    "fung:budding yeasts",
+    "prok:cyanobacteria",
+    "prok:d-proteobacteria",
+    "prok:proteobacteria",
+    "prok:actinobacteria",
+    "prok:mycoplasmas",
+    "prok:spirochetes",
+]
 VIRUSES = ["virs:viruses", "virs:eukaryotic viruses", "virs:prokaryotic viruses"]
 METAGENOMES = "unkn:metagenomes"
 WEAK_NAMES = ["^bacterium", " bacterium", " phylum", " genomosp.", "symbiont"]
@@ -112,7 +124,7 @@ def adjust_divs(runs: DataFrame) -> DataFrame:
         | ((d == "prok:bacteria") & any_(lambda p: p.contains("prok:")))
         | (d.contains("prok:") & any_(lambda p: p == "prok:bacteria"))
     )
-    well_known = d.isin([f"{k}:{x}" for k, v in WELL_KNOWN.items() for x in v])
+    well_known = d.isin(WELL_KNOWN)
     akin = same_kingdom(d, F.coalesce(F.get(inferred, 0), F.lit("NULL")))
     kept = F.coalesce(d.isNull() | F.array_contains(inferred, d), F.lit(True))
     added = empty | (weak & fits) | (akin & ~well_known)

@@ -129,7 +129,7 @@ def _runs(s, d):
 
 EVERY = DIVS + ["prok:proteobacteria", "prok:actinobacteria", "prok:high GC Gram+", "unkn:metagenomes", "prok:a-proteobacteria", "fung:ascomycetes"]
 NAMES = ["Bos taurus", "bacterium X1", "Foo bacterium", "genus_undefined", "endosymbiont of Y", "Candidate phylum Z"]
-KNOWN = [f"{k}:{x}" for k, v in cl.WELL_KNOWN.items() for x in v]
+KNOWN = cl.WELL_KNOWN
 ADJUST = f"""WITH r AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 13 <> 0 THEN ({_list(NAMES)})[c_custkey % 6 + 1] END AS species,
   CASE WHEN c_custkey % 17 <> 0 THEN ({_list(EVERY)})[(c_custkey // 3) % 20 + 1] END AS d,
   list_transform(range(0, least(3, c_custkey % 4)), lambda j: ({_list(EVERY)})[(c_custkey * (3 + j) + j) % 20 + 1]) AS inf FROM customer),
