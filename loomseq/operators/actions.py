@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from . import intervals
 
 
-def spans(rows: DataFrame) -> DataFrame:
-    """rows: (seq_id, at, len, label, pct), label primary, contaminant or grey. Runs of one decided label become spans. Greys
-    between two of a kind join it. Between a contaminant and a primary they join the primary's row if the contaminant has 75 %
+def in_spans(rows: DataFrame) -> DataFrame:
+    """rows: (seq_id, at, len, label, pct), label primary, contaminant or grey, with the number and label of their span. Runs of one decided
+    label become spans. Greys between two of a kind join it. Between a contaminant and a primary they join the primary's row if the contaminant has 75 %
     or more, else the contaminant's if the primary has, else the primary's; between a primary and a contaminant the same holds
     with the contaminant's percentage looked at first."""
     w = Window.partitionBy("seq_id").orderBy("at")
@@ -23,8 +23,13 @@ def spans(rows: DataFrame) -> DataFrame:
     right = F.when(contaminated, F.when(p["pct"] >= 75, True).when(n["pct"] >= 75, False).otherwise(True)).otherwise(F.when(n["pct"] >= 75, False).when(p["pct"] >= 75, True).otherwise(False))
     own = F.when(decided, F.col("label")).when(p.isNull() & n.isNull(), "grey").when(p.isNull(), n["label"]).when(n.isNull() | (p["label"] == n["label"]), p["label"]).when(right, n["label"]).otherwise(p["label"])
     d = d.withColumn("span_label", own)
-    d = d.withColumn("_new", (~F.lag("span_label").over(w).eqNullSafe(F.col("span_label"))).cast("int")).withColumn("span", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.groupBy("seq_id", "span", "span_label").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.sum("len").alias("len"), F.count("*").alias("rows"))
+    d = d.withColumn("_new", (~F.lag("span_label").over(w).eqNullSafe(F.col("span_label"))).cast("int"))
+    return d.withColumn("span", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_p", "_n", "_new")
+
+
+def spans(rows: DataFrame) -> DataFrame:
+    """The spans of rows, with their places, length and number of rows."""
+    return in_spans(rows).groupBy("seq_id", "span", "span_label").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.sum("len").alias("len"), F.count("*").alias("rows"))
 
 
 def seq_stats(rows: DataFrame) -> DataFrame:
