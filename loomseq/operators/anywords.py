@@ -17,24 +17,43 @@ PIECE = 65_536
 def spaced_words(seqs: DataFrame, template: int = 56, stride: int = 1, piece: int = PIECE) -> DataFrame:
     """(oid, pos, word, flipped) of sequences (oid, seq): two of three places of the template, of both strands the lesser; pos is negative, from
     the other end, where that is the minus strand's. The same as words.spaced_words where there are only ACGT."""
+    d = seqs.filter(F.length("seq") >= template)
+    return words_between(pieces(d, template, max(stride, piece // stride * stride)).withColumns({"stride": F.lit(stride), "spans": F.lit(None).cast("array<struct<a:long,b:long>>")}), template)
+
+
+def pieces(seqs: DataFrame, template: int, step: int) -> DataFrame:
+    """(oid, marks, at, raw): what sequences hold from each multiple of step on, up to the words that begin before the next one."""
+    d = seqs.select("oid", F.col("seq").cast("binary").alias("raw"), letters.marks(F.col("seq")).alias("marks"), F.explode(F.sequence(F.lit(0), F.greatest(F.length("seq") - template, F.lit(0)), F.lit(step))).alias("at"))
+    return d.select("oid", "marks", "at", F.substring("raw", F.col("at") + 1, F.lit(step + template - 1)).alias("raw"))
+
+
+def words_between(d: DataFrame, template: int = 56) -> DataFrame:
+    """(oid, pos, word, flipped) of pieces (oid, marks, at, raw, stride, spans): words whose first place, from 0, is a multiple of the stride
+    and lies in one of the spans (a to b, both inside); spans null: anywhere."""
     kept = KEPT.get(template, template - template // 3)
     use = [i for i in range(template) if i % 3 < 2][:kept]
-    step = max(stride, piece // stride * stride)
-    d = seqs.filter(F.length("seq") >= template).select("oid", F.col("seq").cast("binary").alias("raw"), letters.marks(F.col("seq")).alias("marks"), F.explode(F.sequence(F.lit(0), F.length("seq") - template, F.lit(step))).alias("at"))
-    d = d.select("oid", "marks", "at", F.substring("raw", F.col("at") + 1, F.lit(step + template - 1)).alias("raw"))
-    kind = seqs.schema["oid"].dataType.simpleString()
+    kind = d.schema["oid"].dataType.simpleString()
 
     def text(bits: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(bits + np.uint8(48)).view(f"S{kept}").ravel()
 
     def run(batches):
         for b in batches:
-            for k, (marks, at, raw) in enumerate(zip(*(b.column(c).to_pylist() for c in ("marks", "at", "raw")), strict=True)):
+            for k, (marks, at, raw, stride, spans) in enumerate(zip(*(b.column(c).to_pylist() for c in ("marks", "at", "raw", "stride", "spans")), strict=True)):
+                if len(raw) < template:
+                    continue
                 bits, _ = letters.coded(raw, at, letters.salt(marks), letters.ONE, 1)
-                w = np.lib.stride_tricks.sliding_window_view(bits, template)[::stride][:, use]
+                first = -at % stride
+                w = np.lib.stride_tricks.sliding_window_view(bits, template)[first::stride]
+                pos = np.arange(len(w), dtype=np.int64) * stride + at + first + 1
+                if spans is not None:
+                    use_ = np.zeros(len(w), bool)
+                    for s in spans:
+                        use_[np.searchsorted(pos, s["a"] + 1) : np.searchsorted(pos, s["b"] + 1, "right")] = True
+                    w, pos = w[use_], pos[use_]
+                w = w[:, use]
                 here, there = text(w), text(1 - w[:, ::-1])
                 flipped = there < here
-                pos = np.arange(len(w), dtype=np.int64) * stride + at + 1
                 word = np.where(flipped, there, here)
                 words = pa.FixedSizeBinaryArray.from_buffers(pa.binary(kept), len(word), [None, pa.py_buffer(word.tobytes())]).cast(pa.binary()).cast(pa.string())
                 oid = b.column("oid").take(pa.array(np.full(len(w), k)))

@@ -378,9 +378,9 @@ def flagship(s, d):
 for _name in ("spans", "low_cov_promote", "review_needs_exclude", "integrants", "seq_stats", "div_stats", "production_limits", "summary_rollup", "hosted_integrants"):
     SQL[_name] = re.sub(r"(?<![\w\"])at\b", '"at"', SQL[_name])  # a word of SQL
 
-from . import cascades, chimeras, classes, files, flow, hot, islands, reports, screens, selected, store, stretches  # noqa: E402
+from . import builds, cascades, chimeras, classes, files, flow, hot, islands, reports, screens, selected, store, stretches  # noqa: E402
 
-for _module in (cascades, chimeras, classes, files, flow, hot, islands, reports, screens, selected, store, stretches):
+for _module in (builds, cascades, chimeras, classes, files, flow, hot, islands, reports, screens, selected, store, stretches):
     _module.register(query)
 
 _rec = f"""rec AS (SELECT CAST(t4.q_id AS VARCHAR) AS seq_id, any_value(wh.n) AS len, t4.q_id % 50 AS xp, t4.q_id % 30 AS lc, 0 AS co, 0 AS n,
