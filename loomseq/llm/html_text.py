@@ -16,6 +16,7 @@ length are read whole; repeated rows and extra columns change nothing; an empty
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 
@@ -40,7 +41,14 @@ SURE = "ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|co
 MAYBE = "banner|notices?|alert|nav|navbar|navigation|menu|sidebar|side|aside|widget|footer|header|masthead|topbar|related|recommended|tags?|legal|search|toolbar"
 TALK = "comments?|commentary|repl(?:y|ies)|responses?|respond|disqus|discussions?|feedback|guestbook"
 NAMED = [re.compile(rf"(?i)(?:^|[\s_-])(?:{x})(?:$|[\s_-])") for x in (MAYBE, SURE, TALK)]
-TALK_HEADING = re.compile(r"(?i)^(?:\d+\s+)?(?:(?:reader|user)s?'?\s+)?(?:comments?|responses?|replies|discussion|kommentare?|commentaires?|comentarios?|leave a (?:reply|comment))(?:\s*\(?\d*\)?)?:?$")
+#: A heading of reader comments; "discussion" alone is a common heading of articles, so it needs a number or a reader.
+TALK_HEADING = re.compile(
+    r"(?i)^(?:(?:\d+\s+)?(?:(?:reader|user)s?'?\s+)?(?:comments?|responses?|replies|kommentare?|commentaires?|comentarios?|leave a (?:reply|comment))(?:\s*\(?\d*\)?)?"
+    r"|(?:\d+\s+|(?:reader|user)s?'?\s+)discussion|discussion\s*\(\d+\)):?$"
+)
+#: Words that say nothing of what a part is about: a name is sure only if nothing else stands beside its sure words.
+VAGUE = set("area bar block body bottom box btn button buttons card col column container content field footer form group head header icon icons image inner item items label left "
+            "line link links list main media message module nav network networks outer page panel policy post right row section set site slot space strip text title to tool tools top unit us window with wrap wrapper zone".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "group_words", "group_links", "group_share", "heading", "article", "boiler", "named", "talk")
@@ -62,6 +70,17 @@ def _attributes(text: str) -> tuple[str, str, bool]:
     return mark, role, gone
 
 
+def _sure(mark: str) -> int:
+    """2 where a class or id consists of sure words (and vague or possible ones), 1 where something else stands beside them, as in
+    market-share."""
+    level = 0
+    for token in mark.split():
+        if NAMED[1].search(token):
+            rest = [x for x in re.split(r"[_-]+", NAMED[1].sub(" ", token).lower().replace(" ", "-")) if x]
+            level = max(level, 2 if all(x in VAGUE or x.isdigit() or NAMED[0].search(x) or NAMED[1].search(x) for x in rest) else 1)
+    return level
+
+
 class _Open:
     """An open element: whether hidden, what it counts as, and its container's number."""
 
@@ -75,7 +94,7 @@ def _kind(tag: str, mark: str, role: str, in_article: bool) -> tuple[int, ...]:
     """What an element counts as: article, main, content by name, boilerplate, how sure its name is, reader comments."""
     plain = tag in ("html", "body")
     talk = not plain and bool(NAMED[2].search(mark))
-    name = 0 if plain or tag in ("article", "main") else 2 * bool(NAMED[1].search(mark)) or int(bool(NAMED[0].search(mark)))
+    name = 0 if plain or tag in ("article", "main") else _sure(mark) or int(bool(NAMED[0].search(mark)))
     boiler = (tag in BOILER and not (tag == "header" and in_article)) or role in ROLES
     named = not plain and any(map(CONTENT.match, mark.split()))
     return int(tag == "article" and not talk), int(tag == "main" or role == "main"), int(named), int(boiler), name, int(talk)
@@ -354,10 +373,16 @@ def main_text(page: str | None, tree) -> str:
     return " ".join(b[0] for b, row in zip(found, rows, strict=True) if classify(tree, row))
 
 
+@functools.cache
+def grown():
+    """The tree of the labelled pages, grown once in a process."""
+    return grow(*labelled())
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
 
-    tree = grow(*labelled())
+    tree = grown()
 
     def run(batches):
         for b in rows_of(batches, 4 << 20, "html"):
