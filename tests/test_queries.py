@@ -14,7 +14,8 @@ from test_base import SF, rows
 NAMES = ["classify_labels", "classify_rows", "select_divs", "adjust_divs", "division_kinds", "record_positions", "fasta_scan", "tsv_scan", "taxa_scan",
          "locations_scan", "metaline_round_trip", "report_rows", "report_scan", "classified_rows", "actions_scan", "subject_set", "masked_sequences",
          "stored_index", "manifest_of_files", "adapt_stage", "map_groups_if", "counter", "normal_ids", "escaped_tildes", "strides", "reduced_proteins",
-         "stream_running_totals", "stream_tee", "in_scope", "repeat_track_union", "indexable_pieces", "repeat_windows", "augmented_seeds", "entropy_narrow", "entropy_wide", "low_complexity_report"]
+         "stream_running_totals", "stream_tee", "in_scope", "repeat_track_union", "indexable_pieces", "repeat_windows", "augmented_seeds", "entropy_narrow", "entropy_wide", "low_complexity_report",
+         "hot_list", "select_subjects", "maximal_stretches", "packed_fetch", "two_bit_codes", "words_of_any_letters", "div_intervals", "interval_report", "merged_islands", "end_islands", "index_build"]
 
 
 @pytest.fixture(scope="module")
