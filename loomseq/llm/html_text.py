@@ -70,11 +70,12 @@ def _attributes(text: str) -> tuple[str, str, bool]:
     return mark, role, gone
 
 
+@functools.lru_cache(4096)
 def _sure(mark: str) -> int:
     """2 where a class or id consists of sure words (and vague or possible ones), 1 where something else stands beside them, as in
     market-share."""
     level = 0
-    for token in mark.split():
+    for token in mark.split() if NAMED[1].search(mark) else ():
         if NAMED[1].search(token):
             rest = [x for x in re.split(r"[_-]+", NAMED[1].sub(" ", token).lower().replace(" ", "-")) if x]
             level = max(level, 2 if all(x in VAGUE or x.isdigit() or NAMED[0].search(x) or NAMED[1].search(x) for x in rest) else 1)
