@@ -417,6 +417,16 @@ def test_passages(spark, docs, empty, hot, monkeypatch):
     assert passage_dedup.passage_digest(empty).count() == 0
 
 
+def test_repeats_behind_long_shared_ends():
+    # parts 0 and 2 share their last 500 bytes, parts 1 and 3, which stand behind them, their first 500
+    r = random.Random(5)
+    end, start, *own = (bytes(r.randrange(97, 123) for _ in range(n)) for n in (500, 500, 200, 200, 210, 210))
+    parts = [own[0] + end, start + own[1], own[2] + end, start + own[3]]
+    seen = Counter(p[k : k + 400] for p in parts for k in range(len(p) - 399))
+    for p, mark in zip(parts, passage_dedup.repeated_starts(parts), strict=True):
+        assert mark.tolist() == [seen[p[k : k + 400]] > 1 for k in range(len(p) - 399)]
+
+
 def test_suffix_array():
     rng = np.random.default_rng(3)
     for _ in range(150):
