@@ -38,9 +38,10 @@ def tax_scores(nodes: DataFrame, whole: DataFrame) -> DataFrame:
 
 
 def best_taxa(scores: DataFrame, per_div: int = 2, most: int = 4) -> DataFrame:
-    """The best per_div taxa of each division, of those the best most by score; ties to the smaller tax_id."""
+    """The best per_div taxa of each division, of those the best most by score; ties to the smaller tax_id, then to the
+    division first by name (a taxon may stand in several)."""
     a = Window.partitionBy("q_id", "div").orderBy(F.desc("score"), "tax_id")
-    b = Window.partitionBy("q_id").orderBy(F.desc("score"), "tax_id")
+    b = Window.partitionBy("q_id").orderBy(F.desc("score"), "tax_id", "div")
     top = scores.withColumn("_a", F.row_number().over(a)).filter(F.col("_a") <= per_div)
     return top.withColumn("rank", F.row_number().over(b)).filter(F.col("rank") <= most).drop("_a")
 

@@ -2,7 +2,7 @@
 
 import random
 
-from loomseq.operators import report
+from loomseq.operators import report, taxify
 
 IV = "q_id long, pos long, len long"
 
@@ -55,3 +55,11 @@ def test_best_taxa_of_intervals(spark):
     got = report.interval_taxa(spark.createDataFrame(nodes, IV + ", tax_id long, div string, score double"), spark.createDataFrame(asked, IV)).collect()
     rows = {(x.q_id, x.pos): [tuple(t) for t in x.taxa] for x in got}
     assert rows == {(1, 1): [(5, "a:x", 100, 100, 32), (6, "a:x", 100, 50, 21), (8, "v:virus", 11, 11, 20)], (1, 101): [(6, "a:x", 50, 50, 21), (7, "a:x", 50, 50, 20), (8, "v:virus", 9, 9, 18), (9, "b:y", 10, 10, 3)]}
+
+
+def test_best_taxa_have_one_order(spark):
+    # taxon 82 stands in two divisions with one score: the order must not depend on how rows arrive
+    rows = [(1, 82, d, 5, 7.0) for d in ("purchase", "click")] + [(1, 80, "click", 5, 7.0)]
+    for r in (rows, rows[::-1]):
+        got = taxify.best_taxa(spark.createDataFrame(r, "q_id long, tax_id int, div string, cvg_by_tax long, score double").coalesce(1)).collect()
+        assert sorted((x["rank"], x["tax_id"], x["div"]) for x in got) == [(1, 80, "click"), (2, 82, "click"), (3, 82, "purchase")]
