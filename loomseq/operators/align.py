@@ -217,7 +217,7 @@ def accompanied(segments: DataFrame) -> DataFrame:
 def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 300, repeats: DataFrame | None = None) -> DataFrame:
     """Seeds outside masks, occurrence cap, coalescing, neighbours, shadows, extension, chain; a second round of finer seeds around what was
     found; extension with and without gaps, chain, and scores."""
-    index = words.build_index(subject, stride=stride)
+    index = settled(words.build_index(subject, stride=stride, asked=words.spaced_words(query)))
     seeds = words.occurrence_cap(words.seed_join(query_words(query, index, repeats), index))
     seg = drop_stacks(drop_shadows(accompanied(words.coalesce(seeds))))
     taxon = subject.select(F.col("oid").alias("s_oid"), "tax_id")
