@@ -31,6 +31,31 @@ def greedy(candidates: DataFrame, edges: DataFrame, group: str) -> DataFrame:
     return d.groupBy(group).applyInPandas(run, candidates.select("id", group, "preference").schema)
 
 
+def greedy_of_classes(candidates: DataFrame, meets: DataFrame, group: str) -> DataFrame:
+    """The same choice where neighbourhood is a matter of classes: candidates (id, group, preference, class), meets (group, a, b): all
+    candidates of class a of a group are neighbours of all others of class b there; null classes have none. No pair of candidates is made.
+
+    A class is open to its first candidate or to none: if that one is left out, what was taken before it keeps all later ones out; if it is
+    taken, no class that meets this one can follow, so all later ones are taken, unless the class meets itself. So only first candidates, a row
+    for each class, go through the greedy pass."""
+    c = candidates.withColumn("_p", F.nanvl(F.col("preference").cast("double"), F.lit(None)))
+    both = meets.select(group, "a", "b").unionByName(meets.select(group, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    order = F.struct(F.col("_p").isNull().alias("none"), (-F.col("_p")).alias("down"), "id")
+    known = c.filter(F.col(group).isNotNull() & F.col("class").isNotNull())
+    first = known.groupBy(group, "class").agg(F.min(order).alias("_f"))
+    at = first.select(group, "class", F.col("_f.id").alias("id"))
+    edges = both.join(at.select(group, F.col("class").alias("a"), F.col("id").alias("_a")), [group, "a"]).join(at.select(group, F.col("class").alias("b"), F.col("id").alias("_b")), [group, "b"])
+    edges = edges.filter("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    heads = first.select(F.col("_f.id").alias("id"), group, (-F.col("_f.down")).alias("preference"))
+    won = greedy(heads, edges, group).select(F.col("id").alias("_head"))
+    alone = both.filter("a = b").select(group, F.col("a").alias("class"), F.lit(True).alias("_alone"))
+    classes = at.withColumnRenamed("id", "_head").join(won, "_head", "left_semi").join(alone, [group, "class"], "left")
+    taken = known.join(classes, [group, "class"]).filter(F.col("_alone").isNull() | (F.col("id") == F.col("_head")))
+    free = c.filter(F.col(group).isNull() | F.col("class").isNull())
+    columns = ["id", group, "preference"]
+    return taken.select(*columns).unionByName(free.select(*columns))
+
+
 def group_summary(df: DataFrame, by: str, value: str) -> DataFrame:
     return df.groupBy(by).agg(F.count("*").alias("n"), F.count_distinct(value).alias("n_unique"), F.sum(value).alias("total"), F.percentile(value, 0.5).alias("median"))
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.operators import selection
+from loomseq.operators import select, selection
 from loomseq.operators.dataflow import ordinal
 
 DIVS = ["anml:fishes", "anml:birds", "prst:algae", "prok:firmicutes", "fung:fungi", None]
@@ -77,3 +77,17 @@ def test_numbers_of_a_larger_table_are_whole(spark):
     got = ordinal(df.groupBy("h").agg(F.min("id").alias("id"), F.count("*").alias("n")), [F.desc("n"), "h", "id"])
     n = got.count()
     assert got.select("ord").distinct().count() == n == got.agg(F.max("ord")).first()[0]
+
+
+def test_greedy_of_classes_is_the_greedy_choice(spark):
+    r = random.Random(8)
+    rows = [(i, i % 3 if i % 17 else None, float(r.randrange(6)) if i % 11 else None) for i in range(400)]
+    c = spark.createDataFrame(rows, "id long, grp int, preference double").withColumn("class", F.pmod("id", F.lit(7)))
+    meets = [(g, a, b) for g in range(3) for a in range(7) for b in range(a, 7) if r.random() < 0.3]
+    where = {(i, g): i % 7 for i, g, _ in rows}
+    near = {(g, a, b) for g, a, b in meets} | {(g, b, a) for g, a, b in meets}
+    edges = [(i, j) for (i, g), a in where.items() for (j, h), b in where.items() if i != j and g == h and (g, a, b) in near]
+    got = select.greedy_of_classes(c, spark.createDataFrame(meets, "grp int, a long, b long"), "grp").collect()
+    want = select.greedy(c.drop("class"), spark.createDataFrame(edges, "a long, b long"), "grp").collect()
+    text = lambda rows: sorted(map(str, rows))
+    assert text(got) == text(want) and 0 < len(got) < len(rows)
