@@ -60,3 +60,31 @@ def test_other_letters_have_words_that_depend_on_place_and_sequence(spark):
     inside = [p for p in got[1] if 81 <= p and p + 55 <= 180]
     assert got[1] == got[2] and len({got[1][p] for p in inside}) == len(inside) and not {got[1][p] for p in inside} & {got[3][p] for p in inside}
     assert all(got[1][p] == got[4][p] for p in got[1] if p + 55 <= 80)
+
+
+@pytest.mark.parametrize(("template", "stride"), [(56, 1), (56, 11), (44, 7), (29, 1), (29, 300)])
+def test_words_across_pieces(spark, template, stride):
+    r = random.Random(template + stride)
+    seqs = [(i, "".join(r.choice("ACGT" if i != 3 else "ACGTN") for _ in range(n)), i % 2) for i, n in enumerate((template - 1, template, 631, 2900, 576 + template, 577 + template, 575 + template))]
+    want = set()
+    for i, x, _ in seqs:
+        for p in range(0, len(x) - template + 1, stride):
+            w = "".join({"A": "0", "G": "0", "C": "1", "T": "1"}.get(c, c) for k, c in enumerate(x[p : p + template]) if k % 3 < 2)
+            if set(w) <= {"0", "1"}:
+                back = w[::-1].translate(str.maketrans("01", "10"))
+                want.add((i, -(p + template) if back < w else p + 1, min(w, back), back < w, i % 2))
+    got = words.spaced_words(spark.createDataFrame(seqs, "oid long, seq string, tax_id int"), template, stride, "tax_id")
+    assert {tuple(x) for x in got.collect()} == want and got.count() == len(want)
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_seeds_of_asked_words(spark, few, monkeypatch):
+    monkeypatch.setattr(words, "FEW", few)
+    r = random.Random(9)
+    text = "".join(r.choice("ACGT") for _ in range(1500))
+    subjects = spark.createDataFrame([(k, text[k * 40 : 900 + k * 60], k % 3) for k in range(9)], "oid long, seq string, tax_id int")
+    query = words.spaced_words(spark.createDataFrame([(1, text[300:420]), (2, text[700:790]), (3, None)], "oid long, seq string"))
+    got, want = words.seeds_of(query, subjects), words.seed_join(query, words.build_index(subjects))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 0
+    tiered = lambda index: sorted(map(tuple, words.seed_join_tiered(query, index).collect()))
+    assert tiered(words.build_index(subjects, asked=query, by="key30")) == tiered(words.build_index(subjects))
