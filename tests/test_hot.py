@@ -85,3 +85,11 @@ def test_lists_survive_packing():
     for q, s in ((0, 0), (5, 9000), (7, -9000), (9, 9)):
         b.push(q, s, 20, 3, out)
     assert list(H.Bands.of(b.packed()).items()) == list(b.items()) and list(b) == [1, -2, 0]
+
+
+def test_more_rows_make_more_files_not_more_batches(spark):
+    rows = made(160, 3, 400_000)
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    path, files = hot.in_order(spark, df, 10)
+    assert files > 1 and len(spark.read.parquet(path).inputFiles()) == 4 * files + 1
+    assert found(hot.streamed(spark, df, rows_each=10)) == plain(rows)[0]
