@@ -219,7 +219,8 @@ def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 3
     found; extension with and without gaps, chain, and scores."""
     index = settled(words.build_index(subject, stride=stride, asked=words.spaced_words(query)))
     seeds = words.occurrence_cap(words.seed_join(query_words(query, index, repeats), index))
-    seg = drop_stacks(drop_shadows(accompanied(words.coalesce(seeds))))
+    seg = settled(drop_stacks(drop_shadows(accompanied(words.coalesce(seeds)))))
+    subject = words.found_subjects(subject, seg)  # later steps stay on these
     taxon = subject.select(F.col("oid").alias("s_oid"), "tax_id")
     by = ["q_oid", "tax_id"]
     first = settled(best_chain(ungapped.extension_rounds(seg, query, subject).join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by).filter("len > 56"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..adapters import barrier
+from ..adapters import barrier, settled
 from . import intervals, words
 
 NORMS = ["n", "sum_len", "sum_squares", "max_len", "mean_len", "mean_square"]
@@ -51,9 +51,11 @@ def second_round(segments: DataFrame, query: DataFrame, subject: DataFrame, temp
     """Segments (q_oid, s_oid, minus, q, s, len) of at least ``least`` bases from short words, looked for only near the segments
     of leading taxa. A query's words that occur in it more often than ``most`` times are left out. subject has a column div if
     taxa belong to divisions, else all are one."""
-    div = F.col("div") if "div" in subject.columns else F.lit("")
-    taxa = candidate_taxa(taxon_norms(segments), subject.select("tax_id", div.alias("div")).distinct())
-    seg = segments.join(taxa, ["q_oid", "tax_id"], "left_semi")
+    segments = settled(segments)
+    divs = subject.select("tax_id", "div") if "div" in subject.columns else segments.select("tax_id", F.lit("").alias("div"))
+    taxa = candidate_taxa(taxon_norms(segments), divs.distinct())
+    seg = settled(segments.join(taxa, ["q_oid", "tax_id"], "left_semi"))
+    subject = words.found_subjects(subject, seg)
     q_len = query.select(F.col("oid").alias("q_oid"), F.length("seq").alias("q_len"))
     s_len = subject.select(F.col("oid").alias("s_oid"), F.length("seq").alias("s_len"))
     sizes = seg.select("q_oid", "s_oid").distinct().join(q_len, "q_oid").join(s_len, "s_oid")

@@ -88,3 +88,27 @@ def test_seeds_of_asked_words(spark, few, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 0
     tiered = lambda index: sorted(map(tuple, words.seed_join_tiered(query, index).collect()))
     assert tiered(words.build_index(subjects, asked=query, by="key30")) == tiered(words.build_index(subjects))
+
+
+def test_words_of_subjects_are_not_dealt_out_before_they_are_asked_for(spark):
+    r = random.Random(4)
+    text = "".join(r.choice("ACGT") for _ in range(700))
+    odd = text[:200] + "é" + text[200:400] + "n" + text[400:] + "NN"
+    rows = [(1, text, 1), (2, odd, 1), (3, None, 2), (4, "", 2), (5, text[:300], None), (5, text[:300], None)]
+    subjects = spark.createDataFrame(rows, "oid long, seq string, tax_id int")
+    query = words.spaced_words(spark.createDataFrame([(1, text[100:180]), (2, odd[190:420])], "oid long, seq string"))
+    index = words.build_index(subjects, stride=1, asked=query)
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(code" in plan
+    asked = {x.word for x in query.collect()}
+    want = {}
+    for x in set(words.spaced_words(subjects, 56, 1, "tax_id").collect()):
+        if x.word in asked:
+            want.setdefault((x.word, x.tax_id), []).append((x.oid, x.pos))
+    got = [(x.word, x.tax_id, x.oid, x.pos) for x in index.collect()]
+    assert sorted(got, key=str) == sorted(((*k, *p) for k, v in want.items() for p in sorted(v)[:2]), key=str) and got
+    start = lambda x: x.pos if x.pos > 0 else -x.pos - 55
+    has = {(x.oid, start(x)) for x in words.spaced_words(subjects).collect()}
+    assert (2, 145) in has and (2, 202) in has and not any((2, p) in has for p in (201, 402))
+    found = words.found_subjects(subjects, spark.createDataFrame([(2,), (2,), (9,)], "s_oid long"))
+    assert [(x.oid, x.seq) for x in found.collect()] == [(2, odd)]
