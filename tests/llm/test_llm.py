@@ -553,3 +553,23 @@ def test_topk_with_few_candidates(spark):
     assert {(r.query_id, r.rank, r.vec_id) for r in topk_search.top_five(df).collect()} == {(0, 1, 50), (50, 1, 0)}
     large = spark.createDataFrame([(0, [5e5]), (1, [1.0])], "vec_id long, embedding array<float>")
     assert by_row(topk_search.top_five(large), "query_id", "vec_id", "score") == [(0, 1, 500_000 << 16)]
+
+
+def test_language_model_goes_on_from_written_tables():
+    rng = np.random.default_rng(2)
+    model = np.zeros(300, language_model.MODEL)
+    model["word"], model["context"], model["n"] = np.sort(rng.integers(0, 40, 300)), rng.integers(0, 900, 300), rng.integers(1, 200, 300)
+    model = model[np.unique(model[["word", "context"]], return_index=True)[1]]
+    make = lambda: language_model.Seating(model, 40, 40, 7)
+    whole, parted = make(), make()
+    for _ in range(4):
+        g = whole.totals()
+        whole.sweep(g)
+        parted.sweep(g)
+        raw, parted = parted.state(), make()
+        parted.resume(raw)
+        assert np.array_equal(whole.totals(), parted.totals()) and all(np.array_equal(getattr(whole, k), getattr(parted, k)) for k in ("t2", "t1", "t0", "c1", "c0"))
+    read = make()
+    read.resume(whole.state(False))
+    at = np.arange(40)
+    assert np.array_equal(read.probability(g, at, at), whole.probability(g, at, at)) and len(whole.state(False)) < len(whole.state())
