@@ -3,6 +3,8 @@ shadow drop, maximal sub-arrays; and the order of stages."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -214,13 +216,13 @@ def accompanied(segments: DataFrame) -> DataFrame:
     return seg.filter(F.col("len") > 56).unionByName(screen.banded_neighbours(seg, ["q_oid", "s_oid"], COLUMNS).select(*seg.columns)).distinct()
 
 
-def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 300, repeats: DataFrame | None = None) -> DataFrame:
+def align(query: DataFrame, subject: DataFrame, stride: int = 11, short: int = 300, repeats: DataFrame | None = None, read: Callable[[bytes], bytes] | None = None) -> DataFrame:
     """Seeds outside masks, occurrence cap, coalescing, neighbours, shadows, extension, chain; a second round of finer seeds around what was
-    found; extension with and without gaps, chain, and scores."""
-    index = settled(words.build_index(subject, stride=stride, asked=words.spaced_words(query)))
+    found; extension with and without gaps, chain, and scores. read makes the sequence of a subject's bytes, where seq is not one yet."""
+    index = settled(words.build_index(subject, stride=stride, asked=words.spaced_words(query), read=read))
     seeds = words.occurrence_cap(words.seed_join(query_words(query, index, repeats), index))
     seg = settled(drop_stacks(drop_shadows(accompanied(words.coalesce(seeds)))))
-    subject = words.found_subjects(subject, seg)  # later steps stay on these
+    subject = words.found_subjects(subject, seg, read)  # later steps stay on these
     taxon = subject.select(F.col("oid").alias("s_oid"), "tax_id")
     by = ["q_oid", "tax_id"]
     first = settled(best_chain(ungapped.extension_rounds(seg, query, subject).join(taxon, "s_oid").select(*COLUMNS, "tax_id"), by).filter("len > 56"))

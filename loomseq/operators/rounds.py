@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,15 +49,15 @@ def neighbourhoods(segments: DataFrame, sizes: DataFrame, reach: int = 100_000,
     return intervals.merge(d, ["q_oid", "s_oid"], wide)
 
 
-def second_round(segments: DataFrame, query: DataFrame, subject: DataFrame, template: int = 29, most: int = 10, least: int = 50, gap: int = 5) -> DataFrame:
+def second_round(segments: DataFrame, query: DataFrame, subject: DataFrame, template: int = 29, most: int = 10, least: int = 50, gap: int = 5, read: Callable[[bytes], bytes] | None = None) -> DataFrame:
     """Segments (q_oid, s_oid, minus, q, s, len) of at least ``least`` bases from short words, looked for only near the segments
     of leading taxa. A query's words that occur in it more often than ``most`` times are left out. subject has a column div if
-    taxa belong to divisions, else all are one."""
+    taxa belong to divisions, else all are one; read makes the sequence of its bytes, where its seq is not one yet."""
     segments = settled(segments)
     divs = subject.select("tax_id", "div") if "div" in subject.columns else segments.select("tax_id", F.lit("").alias("div"))
     taxa = candidate_taxa(taxon_norms(segments), divs.distinct())
     seg = settled(segments.join(taxa, ["q_oid", "tax_id"], "left_semi"))
-    subject = words.found_subjects(subject, seg)
+    subject = words.found_subjects(subject, seg, read)
     q_len = query.select(F.col("oid").alias("q_oid"), F.length("seq").alias("q_len"))
     s_len = subject.select(F.col("oid").alias("s_oid"), F.length("seq").alias("s_len"))
     sizes = seg.select("q_oid", "s_oid").distinct().join(q_len, "q_oid").join(s_len, "s_oid")

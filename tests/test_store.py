@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from loomseq import adapters
 from loomseq.functions import letters, scalars
 from loomseq.operators import anywords, words
 from loomseq.sources import packed
@@ -112,3 +114,40 @@ def test_words_of_subjects_are_not_dealt_out_before_they_are_asked_for(spark):
     assert (2, 145) in has and (2, 202) in has and not any((2, p) in has for p in (201, 402))
     found = words.found_subjects(subjects, spark.createDataFrame([(2,), (2,), (9,)], "s_oid long"))
     assert [(x.oid, x.seq) for x in found.collect()] == [(2, odd)]
+
+
+@pytest.mark.parametrize("by", ["word", "key30"])
+def test_words_that_no_query_asks_for_stay_in_the_pass_over_texts(spark, by, monkeypatch):
+    r = random.Random(11)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzXYZ ,.é") for _ in range(n)) for n in (900, 70, 30, 4000)]
+    rows = [(k, x, k % 2) for k, x in enumerate([*texts, None, "", texts[0][100:700], texts[3] + texts[1]])]
+    raw = spark.createDataFrame(rows, "oid long, seq string, tax_id int")
+    subjects = adapters.sequences(raw, adapters.bases_of, "seq")
+    query = words.spaced_words(adapters.sequences(spark.createDataFrame([(1, texts[0][90:400]), (2, texts[3][2000:2300])], "oid long, text string")))
+    whole = words.build_index(raw, stride=1, read=adapters.bases_of)
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, words.build_index(subjects, stride=1).collect()), key=str)
+    asked = {getattr(x, by) for x in words.split_key(query).collect()}
+    want = sorted((tuple(x) for x in whole.collect() if getattr(x, by) in asked), key=str)
+    index = words.build_index(raw, stride=1, asked=query, by=by, read=adapters.bases_of)
+    assert "Join" not in index._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, index.collect()), key=str) == want and want
+    monkeypatch.setattr(words, "FEW", 0)
+    assert sorted(map(tuple, words.build_index(raw, stride=1, asked=query, by=by, read=adapters.bases_of).collect()), key=str) == want
+    none = words.build_index(raw, asked=query.limit(0), by=by, read=adapters.bases_of)
+    assert none.count() == 0
+
+
+def test_only_found_texts_become_sequences(spark):
+    def read(x):
+        assert x != b"not found"
+        return adapters.bases_of(x)
+
+    raw = spark.createDataFrame([(1, "not found", 5), (2, "a b, Z", 6), (3, None, 7), (4, "not found", 8)], "oid long, seq string, tax_id int")
+    found = words.found_subjects(raw, spark.createDataFrame([(2,), (3,)], "s_oid long"), read)
+    assert sorted(map(tuple, found.select("oid", "seq", "tax_id").collect())) == [(2, "ACC", 6), (3, None, 7)]
+
+
+def test_portions_of_batches():
+    b = pa.record_batch([pa.array(range(6)), pa.array(["aaa", None, "bb", "cccccccc", "", "é"])], names=["k", "text"])
+    got = [[*p.column("k").to_pylist()] for p in adapters.portions([b, b.slice(0, 0), b.slice(4)], "text", 5)]
+    assert got == [[0, 1, 2], [3], [4, 5], [4, 5]]
