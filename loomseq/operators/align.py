@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..adapters import settled
+from ..adapters import dealt, settled
 from . import intervals, rounds, screen, words
 from . import extension as ungapped
 
@@ -56,7 +56,7 @@ def best_chain(segments: DataFrame, by: list[str]) -> DataFrame:
         pdf = pdf.sort_values(["q", "s_oid", "s", "len"], kind="stable").reset_index(drop=True)
         return pdf.iloc[chain_rows(*(pdf[c].to_numpy() for c in ("q", "s", "len", "s_oid")))]
 
-    return segments.groupBy(*by).applyInPandas(run, segments.schema)
+    return dealt(segments, *by).groupBy(*by).applyInPandas(run, segments.schema)
 
 
 def extension(same: np.ndarray, drop: int = 20, penalty: int = 4) -> int:
@@ -87,7 +87,7 @@ def _pairs(segments: DataFrame, query: DataFrame, subject: DataFrame, work, sche
                 out += [(r.q_oid, r.s_oid, r.minus, q - shift if r.minus else q + 1, s + 1, *rest) for q, s, *rest in found]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    return j.select("q_oid", "s_oid", "minus", "segs", "q_seq", "s_seq").mapInPandas(run, schema)
+    return dealt(j.select("q_oid", "s_oid", "minus", "segs", "q_seq", "s_seq"), "q_oid", "s_oid").mapInPandas(run, schema)
 
 
 def grow(a: np.ndarray, b: np.ndarray, q: int, s: int, n: int, cap: int = 2000) -> tuple[int, int, int]:
@@ -177,7 +177,7 @@ def drop_shadows(segments: DataFrame) -> DataFrame:
             keep.append(k)
         return pdf.iloc[keep]
 
-    return segments.groupBy("q_oid").applyInPandas(run, segments.schema)
+    return dealt(segments, "q_oid").groupBy("q_oid").applyInPandas(run, segments.schema)
 
 
 def drop_stacks(segments: DataFrame) -> DataFrame:

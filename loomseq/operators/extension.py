@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..adapters import settled
+from ..adapters import dealt, settled
 
 # Fixed values of the rounds.
 PENALTIES, DROP, CAP, TRIM = (9, 4, 2), 20, 2000, 8
@@ -167,4 +167,4 @@ def extension_rounds(segments: DataFrame, query: DataFrame, subject: DataFrame,
             yield work(held)
 
     by = ["q_oid", "s_oid", "minus", "run"]
-    return d.repartition(*by).sortWithinPartitions(*by, "r").mapInPandas(each, SEGMENT)
+    return dealt(d, *by).sortWithinPartitions(*by, "r").mapInPandas(each, SEGMENT)

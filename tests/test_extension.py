@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from loomseq.operators import align
 from loomseq.operators import extension as E
 
 SEG = "q_oid long, s_oid long, minus boolean, q long, s long, len long"
@@ -100,3 +102,12 @@ def test_nothing(spark):
     assert E.extension_rounds(spark.createDataFrame([(1, 9, False, 1, 1, 4)], SEG), seqs, seqs).count() == 0
     whole = E.extension_rounds(spark.createDataFrame([(1, 1, None, 1, 1, 4)], SEG), seqs, seqs).first()
     assert tuple(whole) == (1, 1, False, 1, 1, 4)
+
+
+def test_small_tables_are_dealt_out_to_several_tasks(spark):
+    rows = [(q, s, False, 1 + 70 * k, 5 + 70 * k, 60) for q in range(12) for s in range(3) for k in range(2)]
+    segments = spark.createDataFrame(rows, SEG)
+    seqs = lambda n: spark.createDataFrame([(i, "ACGTTGCA" * 30) for i in range(n)], "oid long, seq string")
+    query, subject = seqs(12), seqs(3)
+    for got in (align.best_chain(segments, ["q_oid"]), align.drop_shadows(segments), align.measure(segments, query, subject), E.extension_rounds(segments, query, subject)):
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
