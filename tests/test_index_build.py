@@ -41,3 +41,11 @@ def test_build(spark):
     want = {(k[0], k[1], *p) for k, v in want.items() for p in sorted(v)[:2]}
     assert {(x.word, x.tax_id, x.oid, x.pos) for x in posts.collect()} == want and len(want) > 100
     assert posts.filter(F.length("key30") != 30).count() == 0
+
+
+def test_side_tables_of_a_build_do_without_texts(spark):
+    from loomseq.plans import builds
+
+    raw, *others = builds.frames(spark, "/root/testdata/sf0.001")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "text" in plan(raw) and not any("text" in plan(x) for x in others)
