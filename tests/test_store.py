@@ -137,6 +137,18 @@ def test_words_that_no_query_asks_for_stay_in_the_pass_over_texts(spark, by, mon
     assert none.count() == 0
 
 
+def test_a_task_deals_out_two_postings_of_a_common_word(spark):
+    r = random.Random(6)
+    text = "".join(r.choice("ACGT") for _ in range(90))
+    rows = [(k // 2, text[: 90 - k % 3], k % 2 if k % 7 else None) for k in range(400)] + [(0, text, 1)] * 3
+    subjects = spark.createDataFrame(rows, "oid long, seq string, tax_id int").repartition(4, "oid")
+    query = words.spaced_words(spark.createDataFrame([(1, text)], "oid long, seq string"))
+    index = words.build_index(subjects, stride=1, asked=query)
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("hashpartitioning(code")
+    assert sorted(map(tuple, index.collect()), key=str) == sorted(map(tuple, words.build_index(subjects, stride=1).collect()), key=str)
+
+
 def test_only_found_texts_become_sequences(spark):
     def read(x):
         assert x != b"not found"
