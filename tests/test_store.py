@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomseq import adapters
 from loomseq.functions import letters, scalars
 from loomseq.operators import anywords, words
+from loomseq.plans import queries
 from loomseq.sources import packed
 
 SEQS = {1: "", 2: "A", 3: "ACGTN", 4: "NNNN", 5: "acgtACGTnNRYyk-" * 20, 6: None}
@@ -163,3 +164,9 @@ def test_portions_of_batches():
     b = pa.record_batch([pa.array(range(6)), pa.array(["aaa", None, "bb", "cccccccc", "", "é"])], names=["k", "text"])
     got = [[*p.column("k").to_pylist()] for p in adapters.portions([b, b.slice(0, 0), b.slice(4)], "text", 5)]
     assert got == [[0, 1, 2], [3], [4, 5], [4, 5]]
+
+
+def test_documents_are_not_read_again_for_divisions(spark, monkeypatch):
+    sf, read = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(queries, "taxa", lambda s, d: read.append(d) or adapters.taxa(s, d))
+    assert queries.Q["candidate_taxa"](spark, sf).count() > 0 and len(read) == 1
