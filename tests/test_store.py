@@ -170,3 +170,9 @@ def test_documents_are_not_read_again_for_divisions(spark, monkeypatch):
     sf, read = "/root/testdata/sf0.001", []
     monkeypatch.setattr(queries, "taxa", lambda s, d: read.append(d) or adapters.taxa(s, d))
     assert queries.Q["candidate_taxa"](spark, sf).count() > 0 and len(read) == 1
+
+
+def test_found_subjects_are_not_kept_for_their_lengths(spark, monkeypatch):
+    sf, kept = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(words, "settled", lambda df: kept.append(df.columns) or adapters.settled(df))
+    assert queries.Q["neighbourhoods"](spark, sf).count() > 0 and kept and not any("seq" in c for c in kept)
