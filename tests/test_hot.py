@@ -93,3 +93,30 @@ def test_more_rows_make_more_files_not_more_batches(spark):
     path, files = hot.in_order(spark, df, 10)
     assert files > 1 and len(spark.read.parquet(path).inputFiles()) == 4 * files + 1
     assert found(hot.streamed(spark, df, rows_each=10)) == plain(rows)[0]
+
+
+def test_queries_share_rows_of_state(spark):
+    big = 2**60 + 1
+    rows = [(big + 2 * k + r[0], *r[1:]) for k in range(12) for r in made(30, 10 + k, 400_000)]
+    alone = [(None if r[0] == big + 1 else r[0], *r[1:]) for r in rows]
+    path, files = hot.in_order(spark, spark.createDataFrame(alone, SCHEMA))
+    stream, out = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", files).parquet(path), hot.fresh(spark, "hot")
+    writer = H.hot_list(stream, idle="400 days", lists=4).writeStream.option("checkpointLocation", hot.fresh(spark, "state")).option("path", out)
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = sorted((big + 1 if r[0] is None else r[0], *r[1:]) for r in map(tuple, spark.read.parquet(out).select("q_oid", "s_oid", "q", "s", "len").collect()))
+    assert got == plain(rows)[0] and len({r[:2] for r in rows}) > 40
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 4
+
+
+def test_each_query_of_a_list_has_its_own_end():
+    held, out = H.Lists(), []
+    for key, until in (((1, 0), 50), ((None, 0), 90), ((0, 0), 90)):
+        for q in (0, 5):
+            held.of_key(*key, until).push(q, q, 20, 9, out)
+    held = H.Lists.of(held.packed())
+    assert list(held) == [(1, 0), (None, 0), (0, 0)] and H.Lists.of(H.Lists().packed()) == {}
+    held.close(50, out)
+    assert len(held) == 3 and not out
+    held.close(51, out)
+    assert list(held) == [(None, 0), (0, 0)] and out == [(1, 0, 0, 0, 25)]
