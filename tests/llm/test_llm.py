@@ -573,3 +573,50 @@ def test_language_model_goes_on_from_written_tables():
     read.resume(whole.state(False))
     at = np.arange(40)
     assert np.array_equal(read.probability(g, at, at), whole.probability(g, at, at)) and len(whole.state(False)) < len(whole.state())
+
+
+def test_language_model_draws_many_customers_exactly():
+    d, n, rng = 0.8, 400, np.random.default_rng(3)
+    for weight in (3.0, 300.0):
+        p = np.zeros(n + 1)  # of the numbers of tables, from one customer to n
+        p[1], t = 1.0, np.arange(n + 1)
+        for c in range(1, n):
+            p = np.append(0, p[:-1]) * weight + p * np.maximum(c - d * t, 0)
+            p /= p.sum()
+        got = language_model.Dishes().resample(np.full(4000, n), np.full(4000, weight), d, rng)
+        mean = (p * t).sum()
+        sd = np.sqrt((p * t * t).sum() - mean**2)
+        assert abs(got.mean() - mean) < 4 * sd / np.sqrt(4000) and abs(got.std() - sd) < 0.1 * sd
+
+
+def test_language_model_samples_a_settled_chain(spark):
+    lm, words, found = language_model, language_model._Words(), Counter()
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect():
+        ids = [words.index[w] for w in (r.text or "").encode().translate(lm.TABLE).split()] + [0]
+        found.update(zip(ids, [lm.START] + [words.contexts[x] for x in ids[:-1]], strict=True))
+    s = lm.Seating(np.array([(*k, n) for k, n in sorted(found.items())], lm.MODEL), len(words.hashes), len(words.hashes), 0)
+    tables = lambda: np.array([s.t2.sum(), s.t1.sum(), s.t0.sum()])
+    for _ in range(lm.BURN_IN + lm.SAMPLES):
+        s.sweep(s.totals())
+    first = tables()
+    for _ in range(20):
+        s.sweep(s.totals())
+    assert (abs(first / tables() - 1) < 0.02).all()
+
+
+def test_language_model_sweeps_until_tables_settle(docs, monkeypatch):
+    asked = []
+    monkeypatch.setattr(language_model, "settled", lambda before, now, sweeps: asked.append(sweeps) or sweeps >= 5)
+    made, sweep = [], language_model._sweep
+    monkeypatch.setattr(language_model, "_sweep", lambda *a: made.append(a[3:]) or sweep(*a))
+    assert language_model.score_corpus(docs).count() == docs.count()
+    assert asked == [2, 3, 4, 5] and made[1:] == [(False, False)] * 5 + [(True, False), (True, True)]
+
+
+def test_language_model_settles_at_any_size():
+    g = np.zeros((2, 65793), np.int64)
+    assert language_model.settled(g, g, 2)  # without any tables
+    for tables, change, sweeps, want in ((10**6, 9_000, 2, True), (10**6, 11_000, 2, False), (10**6, 11_000, 32, True), (100, 30, 2, True), (100, 60, 2, False)):
+        a, b = g.copy(), g.copy()
+        a[1, [3, 65540, 65792]], b[1, [3, 65540, 65792]] = tables - change, tables
+        assert language_model.settled(a, b, sweeps) == want
