@@ -620,3 +620,25 @@ def test_language_model_settles_at_any_size():
         a, b = g.copy(), g.copy()
         a[1, [3, 65540, 65792]], b[1, [3, 65540, 65792]] = tables - change, tables
         assert language_model.settled(a, b, sweeps) == want
+
+
+def test_language_model_takes_rows_in_any_order():
+    rng, lm = np.random.default_rng(5), language_model
+    rows = sorted({(int(w), int(c)): int(n) for w, c, n in zip(rng.integers(0, 30, 400), rng.integers(0, 2000, 400), rng.integers(1, 90, 400), strict=True)}.items())
+    model = np.array([(w, c, n) for (w, c), n in rows], lm.MODEL)
+    hashes = np.arange(30, dtype=np.uint64)
+    a, b = lm.Seating(model, 30, 30, 1), lm.Seating(lm.merged([(hashes, model[::2]), (hashes, model[1::2])])[1], 30, 30, 1)
+    for s in (a, b):
+        s.sweep(s.totals())
+    word, context = rng.integers(0, 30, 500), rng.integers(0, 2000, 500)
+    assert {(w, c): n for w, c, n in zip(a.word.tolist(), a.context.tolist(), a.c2.tolist(), strict=True)} == dict(rows)
+    assert a.key1.tolist() == sorted({w << 8 | c & 255 for (w, c), _ in rows}) and (a.key1[a.up1] == a.word << 8 | a.context & 255).all()
+    assert np.array_equal(a.t2, b.t2) and np.array_equal(a.t1, b.t1)
+    p = a.probability(a.totals(), word, context)
+    assert np.array_equal(p, a.probability(a.totals(), word, context, a.places(word, context)))
+    own = {(w, c): (n, t) for w, c, n, t in zip(a.word.tolist(), a.context.tolist(), a.c2.tolist(), a.t2.tolist(), strict=True)}
+    up = a.probability(a.totals(), word, context & 255 | 0xFE00)  # contexts of the same parents that hold nothing
+    for k in range(500):
+        c, t = own.get((int(word[k]), int(context[k])), (0, 0))
+        n, tables = (sum(x[j] for key, x in own.items() if key[1] == context[k]) for j in (0, 1))
+        assert abs(p[k] - (c - 0.8 * t + (2 + 0.8 * tables) * up[k]) / (2 + n)) < 1e-12
